@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pagework import schemas
+from pagework.config import Config
 from pagework.functions.text import let, matches, q
 from pagework.functions.urls import url_domain
 from pagework.plans.skew import MIN_HOT_ROWS, lookup_join
@@ -332,3 +333,16 @@ def force_engine(df: DataFrame, engine: str, url: str = "url") -> DataFrame:
         F.lit(None).cast("string").alias("css_selector"),
         F.lit(None).cast(schemas.OPTIONS).alias("options"),
     )
+
+
+def resolve_options(df: DataFrame, config: Config, css: str | None = None) -> DataFrame:
+    """The selector and options an attempt by rule works with, one column each.
+
+    A selector of the call wins over the rule's; an option the rule sets wins over the settings.
+    """
+    settings = {**vars(config.pruned), **vars(config.article), "prune_xpath": None}
+    chosen = [
+        f"CAST(coalesce(options.{k}, {q(settings[k])}) AS {kind}) AS {k}"
+        for k, kind in schemas.OPTION_FIELDS
+    ]
+    return df.selectExpr("*", f"coalesce({q(css or None)}, css_selector) AS css", *chosen)

@@ -4,23 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-OPTIONS = (
-    "STRUCT<content_filter_threshold: DOUBLE, remove_overlay_elements: BOOLEAN, "
-    "output_format: STRING, include_comments: BOOLEAN, include_tables: BOOLEAN, "
-    "include_links: BOOLEAN, deduplicate: BOOLEAN, target_language: STRING, "
-    "prune_xpath: ARRAY<STRING>>"
-)
-OPTION_KEYS = (
-    "content_filter_threshold",
-    "remove_overlay_elements",
-    "output_format",
-    "include_comments",
-    "include_tables",
-    "include_links",
-    "deduplicate",
-    "target_language",
-    "prune_xpath",
+OPTION_FIELDS = (
+    ("content_filter_threshold", "DOUBLE"),
+    ("remove_overlay_elements", "BOOLEAN"),
+    ("output_format", "STRING"),
+    ("include_comments", "BOOLEAN"),
+    ("include_tables", "BOOLEAN"),
+    ("include_links", "BOOLEAN"),
+    ("deduplicate", "BOOLEAN"),
+    ("target_language", "STRING"),
+    ("prune_xpath", "ARRAY<STRING>"),
 )
+OPTION_KEYS = tuple(name for name, _ in OPTION_FIELDS)
+OPTIONS = f"STRUCT<{', '.join(f'{name}: {kind}' for name, kind in OPTION_FIELDS)}>"
 
 # The rule table as users store it.
 RULES = (
@@ -28,25 +24,21 @@ RULES = (
     f"css_selector STRING, extra_options {OPTIONS}, priority INT"
 )
 
-METADATA = (
-    "STRUCT<status_code: INT, redirected_url: STRING, author: STRING, date: STRING, "
-    "sitename: STRING, description: STRING, language: STRING, hostname: STRING, image: STRING, "
-    "fingerprint: STRING, categories: ARRAY<STRING>, tags: ARRAY<STRING>>"
-)
 METADATA_FIELDS = (
-    ("status_code", "int"),
-    ("redirected_url", "string"),
-    ("author", "string"),
-    ("date", "string"),
-    ("sitename", "string"),
-    ("description", "string"),
-    ("language", "string"),
-    ("hostname", "string"),
-    ("image", "string"),
-    ("fingerprint", "string"),
-    ("categories", "array<string>"),
-    ("tags", "array<string>"),
+    ("status_code", "INT"),
+    ("redirected_url", "STRING"),
+    ("author", "STRING"),
+    ("date", "STRING"),
+    ("sitename", "STRING"),
+    ("description", "STRING"),
+    ("language", "STRING"),
+    ("hostname", "STRING"),
+    ("image", "STRING"),
+    ("fingerprint", "STRING"),
+    ("categories", "ARRAY<STRING>"),
+    ("tags", "ARRAY<STRING>"),
 )
+METADATA = f"STRUCT<{', '.join(f'{name}: {kind}' for name, kind in METADATA_FIELDS)}>"
 
 ATTEMPT = (
     "STRUCT<engine: STRING, success: BOOLEAN, title: STRING, content: STRING, "
