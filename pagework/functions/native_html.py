@@ -41,23 +41,30 @@ STOP_WORDS = {
 
 
 def _element(tag: str) -> str:
-    return rf"<{tag}{_ATTRS}>.*?</{tag}{_S}*>"
+    """A whole element, after its opening '<'."""
+    return rf"{tag}{_ATTRS}>.*?</{tag}{_S}*>"
+
+
+def _any(elements: list[str]) -> str:
+    """One of several elements. The common '<' stands in front, so that a scan tests one character
+    at most positions and the alternatives only where a tag starts."""
+    return f"<(?:{'|'.join(elements)})"
 
 
 def _named_container(names: list[str]) -> list[str]:
     """Containers one of whose class or id names is in ``names``."""
     one_of = "|".join(names)
     value = rf'(?:class|id)="(?:[^">]*{_S})?(?:{one_of})(?:{_S}[^">]*)?"'
-    return [rf"<{t}{_S}[^>]*?{value}[^>]*>.*?</{t}{_S}*>" for t in ("div", "section", "aside", "ul", "ol")]
+    return [rf"{t}{_S}[^>]*?{value}[^>]*>.*?</{t}{_S}*>" for t in ("div", "section", "aside", "ul", "ol")]
 
 
-HIDDEN = "(?is)" + "|".join([r"<!--.*?-->", f"[{MARK}{BREAK}]", *[_element(t) for t in HIDDEN_TAGS]])
-FURNITURE = "(?is)" + "|".join([_element(t) for t in FURNITURE_TAGS] + _named_container(AD_NAMES))
-COMMENTS = "(?is)" + "|".join(_named_container(COMMENT_NAMES))
+HIDDEN = "(?is)" + _any([r"!--.*?-->", *[_element(t) for t in HIDDEN_TAGS]])
+FURNITURE = "(?is)" + _any([_element(t) for t in FURNITURE_TAGS] + _named_container(AD_NAMES))
+COMMENTS = "(?is)" + _any(_named_container(COMMENT_NAMES))
 ARTICLE = rf"(?is)<article{_ATTRS}>(.*?)</article{_S}*>"
 MAIN = rf"(?is)<main{_ATTRS}>(.*?)</main{_S}*>"
 BODY = rf"(?is)<body{_ATTRS}>(.*)"
-TABLE = "(?is)" + _element("table")
+TABLE = "(?is)<" + _element("table")
 HEADING = rf"(?i)<h([1-6]){_ATTRS}>"
 LIST_ITEM = rf"(?i)<li{_ATTRS}>(?:{_S}*<(?:p|div){_ATTRS}>)?"
 CELL_GAP = rf"(?i)</t[dh]{_S}*>{_S}*<t[dh]{_ATTRS}>"
@@ -68,7 +75,8 @@ TAG = r"(?s)</?[a-zA-Z!?][^>]*>"
 
 def clean_html(html: str, include_comments: bool | str, include_tables: bool | str) -> str:
     """A page without comments, hidden elements and page furniture."""
-    c = replace_all(replace_all(html, HIDDEN, ""), FURNITURE, BREAK)
+    c = f"replace(replace({html}, {q(MARK)}, ''), {q(BREAK)}, '')"
+    c = replace_all(replace_all(c, HIDDEN, ""), FURNITURE, BREAK)
     if include_comments is not True:
         c = let(c, lambda x: choose(include_comments, x, replace_all(x, COMMENTS, BREAK)))
     if include_tables is not True:
@@ -98,11 +106,16 @@ def region_blocks(region: str, include_links: bool | str) -> str:
     c = replace_all(c, LIST_ITEM, f"{BREAK}{MARK}-")
     c = replace_all(c, CELL_GAP, " | ")
     c = replace_all(c, BLOCK_EDGE, BREAK)
-    c = replace_all(c, TAG, "")
-    c = collapse_ws(decode_entities(c))
-    trim = f"^ +| +$|(?<=^{MARK}[1-6-]) +"
-    lines = each(f"split({c}, {q(BREAK)}, -1)", lambda s: replace_all(s, trim, ""))
-    return keep(lines, lambda s: f"{replace_all(s, f'^{MARK}[1-6-]', '')} <> ''")
+    c = collapse_ws(replace_all(c, TAG, ""))
+
+    def clean(s: str) -> str:
+        decoded = f"CASE WHEN contains({s}, '&') THEN {collapse_ws(decode_entities(s))} ELSE {s} END"
+        return let(decoded, lambda d: (
+            f"CASE WHEN startswith({d}, {q(MARK)}) THEN concat(substr({d}, 1, 2), trim(substr({d}, 3))) ELSE trim({d}) END"
+        ))
+
+    lines = each(f"split({c}, {q(BREAK)}, -1)", clean)
+    return keep(lines, lambda s: f"{s} <> '' AND NOT (startswith({s}, {q(MARK)}) AND length({s}) <= 2)")
 
 
 def article_blocks(

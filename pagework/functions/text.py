@@ -101,15 +101,17 @@ def strip_ws(c: str) -> str:
 
 
 def collapse_ws(c: str) -> str:
-    """Every run of white space becomes one space."""
-    return replace_all(c, f"[{WS}]+", " ")
+    """Every run of white space becomes one space. Single spaces do not match, so ordinary text is
+    only scanned."""
+    return replace_all(c, f"[{WS}&&[^ ]][{WS}]*| [{WS}]+", " ")
 
 
 def code_point_to_string(n: str) -> str:
-    """The character of a code point; outside Unicode, the replacement character."""
+    """The character of a code point; the replacement character for control characters and for
+    numbers outside Unicode."""
     
     def allowed(x: str) -> str:
-        ok = f"{x} >= 1 AND {x} <= 1114111 AND ({x} < 55296 OR {x} > 57343)"
+        ok = f"({x} >= 32 OR {x} IN (9, 10, 13)) AND {x} <= 1114111 AND ({x} < 55296 OR {x} > 57343)"
         return f"CASE WHEN {ok} THEN {x} ELSE 65533 END"
 
     return f"decode(unhex(lpad(hex({let(n, allowed)}), 8, '0')), 'UTF-32')"

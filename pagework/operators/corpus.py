@@ -48,9 +48,8 @@ def dedup_documents(documents: DataFrame, key: str = "page_id", content: str = "
 def fingerprints(documents: DataFrame, key: str, text: str) -> DataFrame:
     """32-bit SimHash over the word tokens of a text, as eight hex digits; '' without tokens.
 
-    A token votes with the first eight hex digits of its MD5. Equal tokens of a document are counted
-    first and hashed once. All partial sums of a document arise in the task that holds it, so what is
-    shuffled is one narrow row per document.
+    A token votes with the first eight hex digits of its MD5. All partial sums of a document arise in
+    the task that holds it, so what is shuffled is one narrow row per document.
     """
     tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
     words = documents.select(key, F.explode_outer(tokens).alias("token"))

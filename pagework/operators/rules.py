@@ -11,6 +11,7 @@ position that breaks ties between equal priorities. Routing has two forms with e
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 from collections.abc import Iterable, Mapping
@@ -51,21 +52,19 @@ _OPTION_TYPES = {
 }
 
 
-def _entry(idx: int, rule: Mapping[str, Any]) -> tuple:
+def _entry(idx: int, rule: Mapping[str, Any]) -> dict[str, Any]:
     given = rule.get("extra_options") or {}
-    options = tuple(
-        None if given.get(k) is None else _OPTION_TYPES[k](given[k]) for k in schemas.OPTION_KEYS
-    )
-    return (
-        idx,
-        rule.get("name", ""),
-        rule.get("match_type", "domain"),
-        rule.get("match_pattern", ""),
-        rule.get("engine", ""),
-        rule.get("css_selector"),
-        options if given else None,
-        int(rule.get("priority", 0)),
-    )
+    options = {k: _OPTION_TYPES[k](given[k]) for k in schemas.OPTION_KEYS if given.get(k) is not None}
+    return {
+        "rule_idx": idx,
+        "name": rule.get("name", ""),
+        "match_type": rule.get("match_type", "domain"),
+        "match_pattern": rule.get("match_pattern", ""),
+        "engine": rule.get("engine", ""),
+        "css_selector": rule.get("css_selector"),
+        "extra_options": options or None,
+        "priority": int(rule.get("priority", 0)),
+    }
 
 
 def rules_from_list(spark: SparkSession, rules: Iterable[Mapping[str, Any]]) -> DataFrame:
@@ -76,7 +75,9 @@ def rules_from_list(spark: SparkSession, rules: Iterable[Mapping[str, Any]]) ->
             rows.append(_entry(idx, rule))
         except (AttributeError, TypeError, ValueError) as e:
             log.error("site rule %d skipped: %s", idx, e)
-    return spark.createDataFrame(rows, "rule_idx INT, " + schemas.RULES)
+    # As a JSON literal the rules stay part of the plan; no task has to ship them.
+    kind = f"ARRAY<STRUCT<rule_idx INT, {schemas.RULES}>>"
+    return spark.sql(f"SELECT inline(from_json({q(json.dumps(rows))}, {q(kind)}))")
 
 
 def java_pattern(pattern: str) -> str | None:
@@ -96,7 +97,7 @@ def _rejected(spark: SparkSession, patterns: list[str]) -> set[str]:
     if not patterns:
         return set()
     try:
-        spark.range(1).select(*[F.lit("").rlike(p).alias(f"p{i}") for i, p in enumerate(patterns)]).collect()
+        spark.sql(f"SELECT {', '.join(matches(q(''), p) for p in patterns)}").collect()
         return set()
     except PySparkException:
         if len(patterns) == 1:
@@ -127,18 +128,15 @@ def compile_rules(rules: DataFrame) -> DataFrame:
         F.col("extra_options").alias("options"),
         F.coalesce("priority", F.lit(0)).alias("priority"),
     )
-    regexes = [
-        x.match_pattern
-        for x in r.filter(F.col("match_type") == "regex")
-        .select("match_pattern").distinct().limit(MAX_REGEX_RULES + 1).collect()
-    ]
+    patterns = r.filter(F.col("match_type") == "regex").select("match_pattern").distinct()
+    regexes = [x.match_pattern for x in patterns.limit(MAX_REGEX_RULES + 1).collect()]
     if len(regexes) > MAX_REGEX_RULES:
         raise ValueError(f"more than {MAX_REGEX_RULES} different regular expressions")
     java = {p: java_pattern(p) for p in regexes}
     refused = _rejected(spark, sorted({j for j in java.values() if j is not None}))
     good = sorted(p for p, j in java.items() if j is not None and j not in refused)
-    for p in sorted(set(regexes) - set(good)):
-        log.error("site rule pattern %r is not a valid regular expression and never matches", p)
+    if bad := sorted(set(regexes) - set(good)):
+        log.error("%d site rule patterns are no valid regular expressions and never match: %s", len(bad), bad[:5])
     is_domain = (F.col("match_type") == "domain") & (F.col("match_pattern") != "")
     is_regex = (F.col("match_type") == "regex") & F.col("match_pattern").isin(good)
     return r.select(
@@ -177,9 +175,10 @@ class RuleSet:
 
 def rule_set(rules: DataFrame) -> RuleSet:
     table = compile_rules(rules)
-    few = table.filter("usable").orderBy("rank").limit(MAX_CASE_RULES + 1).collect()
-    size = table.count()
-    return RuleSet(table, None if len(few) > MAX_CASE_RULES else tuple(few), size)
+    few = table.filter("usable").limit(MAX_CASE_RULES + 1).collect()
+    if len(few) > MAX_CASE_RULES:
+        return RuleSet(table, None, table.count())
+    return RuleSet(table, tuple(sorted(few, key=lambda r: r.rank)), len(few))
 
 
 def match_domain(domain: str, pattern: str) -> str:

@@ -124,7 +124,7 @@ def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         for k, (t, p) in enumerate([
             ("domain", F.col("host")),
             ("domain", F.concat(F.lit("*."), F.regexp_replace("host", r"^[^.]+\.", ""))),
-            ("regex", F.concat(F.lit("("), "host")),
+            ("regex", F.lit("(")),
             ("glob", F.col("host")),
         ])
     ])
@@ -136,7 +136,7 @@ def host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("article").alias("engine"),
         F.lit(None).cast("string").alias("css_selector"),
         F.lit(None).cast(schemas.OPTIONS).alias("extra_options"),
-        (F.length("host") * 0 + F.when(F.col("x.k") == 0, F.length("host")).otherwise(1)).cast("int").alias("priority"),
+        F.when(F.col("x.k") == 0, F.length("host")).otherwise(1).alias("priority"),
     )
 
 

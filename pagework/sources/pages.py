@@ -50,8 +50,20 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
 
     The newest capture is looked up on narrow rows first. The wide HTML rows then move once, keyed
     by their unique page id, and only those that some URL asks for survive the join.
+
+    URLs without a capture have no page id; a salt keeps them from meeting in one task. The number of
+    partitions is fixed because what follows works hard per row: merging partitions that look small
+    before the HTML is joined would leave the extraction to a few tasks.
     """
-    full = with_fetch_columns(pages)
-    wanted = urls.join(latest_captures(pages), "url", "left").drop("captured_at")
-    bodies = full.select("page_id", "html", "status_code", "redirected_url")
-    return wanted.join(bodies, "page_id", "left")
+    partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = F.pmod(F.xxhash64("url"), F.lit(2**31))
+    wanted = (
+        urls.join(latest_captures(pages), "url", "left").drop("captured_at")
+        .withColumn("_salt", F.when(F.col("page_id").isNull(), spread).otherwise(F.lit(0)))
+        .repartition(partitions, "page_id", "_salt")
+    )
+    # pmod(x, 1) is always 0, but the optimizer cannot fold it and drop the column from the key.
+    bodies = with_fetch_columns(pages).select(
+        "page_id", F.pmod("page_id", F.lit(1)).cast("bigint").alias("_salt"), "html", "status_code", "redirected_url"
+    )
+    return wanted.join(bodies, ["page_id", "_salt"], "left").drop("_salt")
