@@ -16,6 +16,7 @@ FURNITURE_FACTOR = 0.5
 STRONG_TAGS = "p pre blockquote h1 h2 h3 h4 h5 h6 tr dd dt figcaption article main".split()
 WEAK_TAGS = "nav aside footer header form".split()
 FURNITURE_PATH = r"/(?:nav|header|footer|aside|form)(?:[/.#]|$)"
+LIST_PARAGRAPH = r"/li(?:[.#][^/]*)?/(?:p|div)(?:[.#][^/]*)?$"
 OVERLAY_NAMES = (
     "modal overlay popup pop-up lightbox cookie cookies consent gdpr newsletter subscribe "
     "ad ads advert advertisement adsense banner sponsor sponsored"
@@ -131,7 +132,7 @@ def mark_blocks(blocks: str, include_links: bool | str) -> str:
 
     def mark(b: str) -> str:
         level = extract(f"{b}.tag", "^h([1-6])$")
-        sign = f"CASE WHEN {level} <> '' THEN concat({q(nh.MARK)}, {level}) WHEN {b}.tag = 'li' THEN {q(nh.MARK + '-')} ELSE '' END"
+        sign = f"CASE WHEN {level} <> '' THEN concat({q(nh.MARK)}, {level}) WHEN {b}.tag = 'li' OR {matches(b + '.path', LIST_PARAGRAPH)} THEN {q(nh.MARK + '-')} ELSE '' END"
         return f"concat({sign}, {_text(b, include_links)})"
 
     return each(blocks, mark)

@@ -16,7 +16,7 @@ UNSAFE_AUTHORITY_CHARS = "⁇⁈⁉℀℁℅℆⩴︓︖﹕﹖﹟﹫＃／：？
 
 _H16 = "[0-9A-Fa-f]{1,4}"
 _V4 = r"^(?:(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])(?:\.|$)){4}$"
-_BRACKETED = r"^(?:[^\[\]]*@)?\[([^\[\]]*)\](?::[^\[\]]*)?$"
+_BRACKETED = r"\[([^\]]*)\]"
 
 
 def extract_urls(text: str) -> str:
