@@ -15,6 +15,7 @@ from pagework import errors
 from pagework.functions.text import let, q
 from pagework.functions.urls import extract_urls, filter_valid, strip_url
 from pagework.operators.batch import parse_batch
+from pagework.operators.engines import message
 from pagework.plans.materialize import materialize
 
 BUCKET = 256
@@ -66,15 +67,15 @@ def format_responses(
     entry = F.struct("pos", F.expr(format_response()).alias("text"))
     packed = parts.groupBy(group, "_bucket").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     out = packed.join(offsets, [group, "_bucket"]).selectExpr(
-        group, "_segment AS segment", f"{_numbered('entries', 'n_before', 'n_all', 'text')} AS text"
+        group, "CAST(_segment AS BIGINT) AS segment",
+        f"{_numbered('entries', 'n_before', 'n_all', 'text')} AS text",
     )
     if requests is None:
         return out
-    named = requests.select(group).join(out, group, "left")
-    return named.select(
-        group,
-        F.coalesce("segment", F.lit(0)).alias("segment"),
-        F.coalesce("text", F.lit(errors.NO_RESULTS)).alias("text"),
+    # Only ids meet in this join: the texts of a long report must not gather in one task.
+    empty = requests.select(group).join(responses.select(group).distinct(), group, "left_anti")
+    return out.unionByName(
+        empty.select(group, F.lit(0).cast("bigint").alias("segment"), F.lit(errors.NO_RESULTS).alias("text"))
     )
 
 
@@ -130,16 +131,12 @@ def execute_requests(
             f"named_struct('segment', CAST(_buckets + _segment AS BIGINT), 'text', {p}.bad)), x -> x.text <> '') END"
         ),
     )
-    reports = joined.selectExpr("request_id", "good_all > 0 AS _ok", f"explode({pieces}) AS _p")
-    reports = reports.selectExpr("request_id", "_ok", "_p.segment AS segment", "_p.text AS text")
-
-    fixed = F.create_map(*[F.lit(x) for c in (errors.NO_INPUT, errors.NO_URL_FOUND, errors.NO_VALID_URL)
-                           for x in (c, errors.MESSAGES[c])])
-    return inputs.select("request_id", "_code").join(reports, "request_id", "left").select(
-        "request_id",
-        F.coalesce("segment", F.lit(0)).cast("bigint").alias("segment"),
-        F.coalesce("_ok", F.lit(False)).alias("ok"),
-        F.when(F.col("_code").isNotNull(), F.col("_code"))
-        .when(~F.coalesce("_ok", F.lit(False)), errors.ALL_FAILED).alias("code"),
-        F.coalesce("text", F.try_element_at(fixed, F.col("_code"))).alias("text"),
+    done = joined.selectExpr("request_id", "good_all > 0 AS ok", f"explode({pieces}) AS p").selectExpr(
+        "request_id", "p.segment AS segment", "ok",
+        f"CASE WHEN NOT ok THEN {q(errors.ALL_FAILED)} END AS code", "p.text AS text",
+    )
+    # A request with a usable URL has at least one response, so the two parts cover all requests.
+    refused = inputs.filter(F.col("_code").isNotNull()).selectExpr(
+        "request_id", "0L AS segment", "false AS ok", "_code AS code", f"{message('_code')} AS text"
     )
+    return done.unionByName(refused)

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pagework import schemas
 
+# Up to this many distinct URLs are broadcast to the page scan.
+MAX_BROADCAST_URLS = 100_000
+
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """A captured-pages table with its declared schema, so no file is opened to plan a query."""
@@ -32,24 +35,22 @@ def with_fetch_columns(pages: DataFrame) -> DataFrame:
 
 
 def latest_captures(pages: DataFrame) -> DataFrame:
-    """The newest capture per URL: ``url``, ``page_id``, ``captured_at``.
+    """The page id of the newest capture per URL; without ``captured_at``, the highest page id.
 
     Reads no HTML and aggregates before the shuffle, so a URL captured very often is no hot key.
     """
-    newest = F.max(
-        F.struct(_column(pages, "captured_at", "timestamp").alias("captured_at"), F.col("page_id"))
-    )
-    return (
-        pages.groupBy("url").agg(newest.alias("_c"))
-        .select("url", F.col("_c.page_id").alias("page_id"), F.col("_c.captured_at").alias("captured_at"))
-    )
+    if "captured_at" not in pages.columns:
+        return pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+    newest = F.max(F.struct("captured_at", "page_id"))
+    return pages.groupBy("url").agg(newest.alias("_c")).select("url", F.col("_c.page_id").alias("page_id"))
 
 
 def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """Add ``page_id``, ``html``, ``status_code`` and ``redirected_url`` to distinct URLs.
 
     The newest capture is looked up on narrow rows first. The wide HTML rows then move once, keyed
-    by their unique page id, and only those that some URL asks for survive the join.
+    by their unique page id. When the URLs are counted and found few, they are broadcast to the scan
+    and only the pages asked for move at all.
 
     URLs without a capture have no page id; a salt keeps them from meeting in one task. The number of
     partitions is fixed because what follows works hard per row: merging partitions that look small
@@ -57,8 +58,10 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """
     partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64("url"), F.lit(2**31))
+    if urls.limit(MAX_BROADCAST_URLS + 1).count() <= MAX_BROADCAST_URLS:
+        pages = pages.join(F.broadcast(urls.select("url")), "url", "left_semi")
     wanted = (
-        urls.join(latest_captures(pages), "url", "left").drop("captured_at")
+        urls.join(latest_captures(pages), "url", "left")
         .withColumn("_salt", F.when(F.col("page_id").isNull(), spread).otherwise(F.lit(0)))
         .repartition(partitions, "page_id", "_salt")
     )

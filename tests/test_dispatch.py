@@ -13,6 +13,7 @@ from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine, pruned_engine, python_engine
 from pagework.operators.rules import rule_set, rules_from_list
 from pagework.plans.materialize import materialize, shared_dir
+from pagework.sources import pages as page_source
 
 
 def engine(name, fails_on=""):
@@ -133,8 +134,9 @@ def batch_inputs():
 PAGES = [(1, "http://a.com/1", "<p>one</p>"), (2, "http://hot.com/", "<p>hot</p>"), (3, "http://hot.com/", "<p>newer</p>"), (4, "http://unused.com", "u")]
 
 
-@pytest.mark.parametrize("min_hot_rows", [10, 10**6])
-def test_batch_keeps_every_input_row(spark, min_hot_rows):
+@pytest.mark.parametrize("min_hot_rows,few", [(10, 0), (10**6, 100)])
+def test_batch_keeps_every_input_row(spark, monkeypatch, min_hot_rows, few):
+    monkeypatch.setattr(page_source, "MAX_BROADCAST_URLS", few)
     rows = batch_inputs()
     inputs = spark.createDataFrame(rows, "pos BIGINT, url STRING")
     pages = spark.createDataFrame(PAGES, "page_id BIGINT, url STRING, html STRING")
