@@ -7,6 +7,7 @@ elements. A null page costs nothing, so callers gate the input column instead of
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -48,11 +49,17 @@ _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))
 _SPACE = re.compile(r"\s+")
 
 
+# Paths name at most this many elements, as browsers limit nesting too. Text has no such limit.
+MAX_PATH = 256
+
+
 class Element:
-    __slots__ = ("tag", "attrs", "start", "path", "hits")
+    __slots__ = ("tag", "attrs", "start", "own", "seen")
 
-    def __init__(self, tag: str, attrs: dict[str, str], start: int, path: str) -> None:
-        self.tag, self.attrs, self.start, self.path, self.hits = tag, attrs, start, path, False
+    def __init__(self, tag: str, attrs: dict[str, str], start: int) -> None:
+        self.tag, self.attrs, self.start = tag, attrs, start
+        self.own: list[int] = []
+        self.seen: list[int] = []
 
 
 def path_name(value: str) -> str:
@@ -62,15 +69,30 @@ def path_name(value: str) -> str:
     return value
 
 
-def _segment(tag: str, attrs: dict[str, str]) -> str:
-    ident = "".join("#" + path_name(x) for x in attrs.get("id", "").split())
-    return tag + ident + "".join("." + path_name(x) for x in attrs.get("class", "").split())
+def element_path(stack: list[Element], depth: int) -> str:
+    """'/html/body/div#id.class' for the outer ``depth`` open elements."""
+    parts = []
+    for e in stack[: min(depth, MAX_PATH)]:
+        ident = "".join("#" + path_name(x) for x in e.attrs.get("id", "").split())
+        parts.append("/" + e.tag + ident + "".join("." + path_name(x) for x in e.attrs.get("class", "").split()))
+    return "".join(parts)
 
 
 def walk(html: str) -> Iterator[tuple[str, int, int, list[Element], Element | None]]:
-    """Yield (event, start, end, open elements, element) with event in text/open/close."""
+    """Yield (event, start, end, open elements, element) with event in text/open/close.
+
+    Tags that close nothing cost a look into a counter, so a broken page stays linear.
+    """
     stack: list[Element] = []
+    is_open: Counter[str] = Counter()
     done = 0
+
+    def pop(depth: int, at: int, end: int, tag: str = "") -> Iterator:
+        while len(stack) > depth:
+            e = stack.pop()
+            is_open[e.tag] -= 1
+            yield "close", at, end if len(stack) == depth and e.tag == tag else at, stack, e
+
     for m in _TOKEN.finditer(html):
         if m.start() > done:
             yield "text", done, m.start(), stack, None
@@ -79,38 +101,37 @@ def walk(html: str) -> Iterator[tuple[str, int, int, list[Element], Element | No
             continue
         tag = m["tag"].lower()
         if m["end"]:
-            depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag), None)
-            while depth is not None and len(stack) > depth:
-                inner = stack.pop()
-                yield "close", m.start(), m.end() if inner.tag == tag and len(stack) == depth else m.start(), stack, inner
+            if is_open[tag] > 0:
+                depth = next(i for i in range(len(stack) - 1, -1, -1) if stack[i].tag == tag)
+                yield from pop(depth, m.start(), m.end(), tag)
             continue
         closes, bound = IMPLIED_END.get(tag, (frozenset(), frozenset()))
         if tag in ENDS_PARAGRAPH:
             closes, bound = closes | {"p"}, bound | (BLOCK - {"p", "li", "dt", "dd", "tr"})
-        if closes:
-            depth = None
-            for i in range(len(stack) - 1, -1, -1):
+        left = sum(is_open[t] for t in closes)
+        if left:
+            depth = i = len(stack)
+            while left and i:
+                i -= 1
                 if stack[i].tag in closes:
-                    depth = i
+                    depth, left = i, left - 1
                 elif stack[i].tag in bound:
                     break
-            while depth is not None and len(stack) > depth:
-                yield "close", m.start(), m.start(), stack, stack.pop()
+            yield from pop(depth, m.start(), m.start())
         raw = m["attrs"] if m["attrs"] is not None else m["bad"]
         attrs: dict[str, str] = {}
         for a in _ATTR.finditer(raw):
             attrs.setdefault(a[1].lower(), unescape(a[2] or a[3] or a[4] or ""))
-        path = (stack[-1].path if stack else "") + "/" + _segment(tag, attrs)
-        element = Element(tag, attrs, m.start(), path)
+        element = Element(tag, attrs, m.start())
         yield "open", m.start(), m.end(), stack, element
         if tag in VOID or raw.endswith("/") and tag not in BLOCK:
             yield "close", m.end(), m.end(), stack, element
         else:
             stack.append(element)
+            is_open[tag] += 1
     if done < len(html):
         yield "text", done, len(html), stack, None
-    while stack:
-        yield "close", len(html), len(html), stack, stack.pop()
+    yield from pop(0, len(html), len(html))
 
 
 _COMPOUND = re.compile(
@@ -120,7 +141,7 @@ _COMPOUND = re.compile(
 
 
 def parse_selector(css: str) -> tuple:
-    """A selector list as ((combinator, tests), ...) per alternative, last compound first."""
+    """A selector list as ((combinator, tests), ...) per alternative."""
     alternatives = []
     for part in re.split(r",(?![^\[]*\])", css):
         steps, tests, combinator, i, part = [], [], "", 0, part.strip()
@@ -140,7 +161,7 @@ def parse_selector(css: str) -> tuple:
         if not tests:
             raise ValueError(f"unsupported selector {css!r}")
         steps.append((combinator, tuple(tests)))
-        alternatives.append(tuple(reversed(steps)))
+        alternatives.append(tuple(steps))
     return tuple(alternatives)
 
 
@@ -169,24 +190,34 @@ def _passes(e: Element, tests: tuple) -> bool:
     return True
 
 
-def _matches(steps: tuple, e: Element, ancestors: list[Element]) -> bool:
-    combinator, tests = steps[0]
-    if not _passes(e, tests):
-        return False
-    if len(steps) == 1:
-        return True
-    if combinator == ">":
-        return bool(ancestors) and _matches(steps[1:], ancestors[-1], ancestors[:-1])
-    return any(_matches(steps[1:], ancestors[i], ancestors[:i]) for i in range(len(ancestors) - 1, -1, -1))
+def _step(e: Element, parent: Element | None, alternatives: tuple) -> bool:
+    """Work out which selector steps ``e`` completes, from those its parent completed.
+
+    Per alternative, ``own`` has a bit for each step that ends at the element, ``seen`` for each that
+    ends at it or at an ancestor. One look at the parent replaces a search through all ancestors.
+    """
+    hit = False
+    for i, steps in enumerate(alternatives):
+        above_own, above_seen = (parent.own[i], parent.seen[i]) if parent else (0, 0)
+        own = 0
+        for j, (combinator, tests) in enumerate(steps):
+            before = above_own if combinator == ">" else above_seen
+            if (j == 0 or before >> (j - 1) & 1) and _passes(e, tests):
+                own |= 1 << j
+        e.own.append(own)
+        e.seen.append(own | above_seen)
+        hit = hit or bool(own >> (len(steps) - 1) & 1)
+    return hit
 
 
 def select_html(html: str, alternatives: tuple) -> str:
     """The source of all elements matching a parsed selector, joined in page order."""
     found: list[tuple[int, int]] = []
-    for event, _, end, stack, e in walk(html):
-        if event == "open":
-            e.hits = any(_matches(steps, e, stack) for steps in alternatives)
-        elif event == "close" and e.hits:
+    hits: set[int] = set()
+    for event, start, end, stack, e in walk(html):
+        if event == "open" and _step(e, stack[-1] if stack else None, alternatives):
+            hits.add(e.start)
+        elif event == "close" and e.start in hits:
             found.append((e.start, end))
     return "".join(html[a:b] for a, b in sorted(found, key=lambda x: (x[0], -x[1])))
 
@@ -197,27 +228,28 @@ def page_blocks(html: str) -> list[tuple[str, str, str, int, str]]:
     pieces: list[str] = []
     links: list[str] = []
     begin = last = hidden = anchors = 0
-    owner: Element | None = None
+    tag, path = "body", ""
 
     def flush() -> None:
-        nonlocal owner
+        if not pieces:
+            return
         raw = unescape("".join(pieces))
-        tag = owner.tag if owner else "body"
         text = raw.strip() if tag == "pre" else _SPACE.sub(" ", raw).strip()
         text = text.strip("| ") if tag == "tr" else text
         if text:
             linked = len(_SPACE.sub(" ", unescape("".join(links))).strip())
-            out.append((tag, owner.path if owner else "", text, min(linked, len(text)), html[begin:last].strip()))
+            out.append((tag, path, text, min(linked, len(text)), html[begin:last].strip()))
         pieces.clear()
         links.clear()
-        owner = None
 
     for event, start, end, stack, e in walk(html):
         if event == "text":
             if hidden or (not pieces and not html[start:end].strip()):
                 continue
             if not pieces:
-                owner = next((x for x in reversed(stack) if x.tag in BLOCK), None)
+                depth = next((i for i in range(len(stack), 0, -1) if stack[i - 1].tag in BLOCK), 0)
+                tag = stack[depth - 1].tag if depth else "body"
+                path = element_path(stack, depth)
             pieces.append(html[start:end])
             if anchors:
                 links.append(html[start:end])

@@ -46,7 +46,9 @@ def _valid_ipv6(host: str) -> str:
             filled = f"size({keep(f'split({g}, {q(":")})', lambda x: f'{x} <> {q("")}')})"
             full = matches(g, f"^{_H16}(?::{_H16}){{7}}$")
             short = matches(g, f"^(?:{_H16}(?::{_H16})*)?::(?:{_H16}(?::{_H16})*)?$")
-            return f"(({full} OR ({short} AND {filled} <= 7)) AND ({tail} = '' OR {matches(tail, _V4)}))"
+            good = f"({full} OR ({short} AND {filled} <= 7)) AND ({tail} = '' OR {matches(tail, _V4)})"
+            # No address is longer; a longer text must not reach the repeated groups.
+            return f"CASE WHEN length({g}) <= 45 THEN {good} ELSE false END"
 
         return let(groups, check)
 

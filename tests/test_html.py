@@ -145,7 +145,10 @@ def test_unsupported_selectors(css):
 
 
 def test_deep_and_broken_pages():
-    assert page_blocks("<div>" * 3000 + "x")[0][2] == "x"
+    deep = page_blocks("<div>x" * 20_000)
+    assert len(deep) == 20_000 and max(len(b[1]) for b in deep) <= 4 * 256
+    page_blocks("<b>" * 20_000 + "<p>x" * 20_000), page_blocks("</i>" * 100_000)
+    assert len(select_html("<div>" * 2000, parse_selector("div div > div div"))) > 0
     for broken in ("<", "<p", "<p title=\"x>y</p>", "</p></div>", "<!--", "<script>", "<a href='", "\x00"):
         page_blocks(broken), select_html(broken, parse_selector("p"))
 
