@@ -54,10 +54,10 @@ MAX_PATH = 256
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "start", "own", "seen")
+    __slots__ = ("tag", "attrs", "start", "segment", "own", "seen")
 
     def __init__(self, tag: str, attrs: dict[str, str], start: int) -> None:
-        self.tag, self.attrs, self.start = tag, attrs, start
+        self.tag, self.attrs, self.start, self.segment = tag, attrs, start, ""
         self.own: list[int] = []
         self.seen: list[int] = []
 
@@ -71,11 +71,13 @@ def path_name(value: str) -> str:
 
 def element_path(stack: list[Element], depth: int) -> str:
     """'/html/body/div#id.class' for the outer ``depth`` open elements."""
-    parts = []
-    for e in stack[: min(depth, MAX_PATH)]:
-        ident = "".join("#" + path_name(x) for x in e.attrs.get("id", "").split())
-        parts.append("/" + e.tag + ident + "".join("." + path_name(x) for x in e.attrs.get("class", "").split()))
-    return "".join(parts)
+    outer = stack[: min(depth, MAX_PATH)]
+    for e in outer:
+        if not e.segment:
+            ident = "".join("#" + path_name(x) for x in e.attrs.get("id", "").split())
+            classes = "".join("." + path_name(x) for x in e.attrs.get("class", "").split())
+            e.segment = "/" + e.tag + ident + classes
+    return "".join([e.segment for e in outer])
 
 
 def walk(html: str) -> Iterator[tuple[str, int, int, list[Element], Element | None]]:
