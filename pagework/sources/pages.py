@@ -9,6 +9,8 @@ from pagework import schemas
 
 # Up to this many distinct URLs are broadcast to the page scan.
 MAX_BROADCAST_URLS = 100_000
+# For such small sets, about this many URLs make a task.
+URLS_PER_TASK = 500
 
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
@@ -58,7 +60,10 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """
     partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = F.pmod(F.xxhash64("url"), F.lit(2**31))
-    if urls.limit(MAX_BROADCAST_URLS + 1).count() <= MAX_BROADCAST_URLS:
+    asked = urls.limit(MAX_BROADCAST_URLS + 1).count()
+    if asked <= MAX_BROADCAST_URLS:
+        cores = urls.sparkSession.sparkContext.defaultParallelism
+        partitions = min(partitions, max(cores, asked // URLS_PER_TASK))
         pages = pages.join(F.broadcast(urls.select("url")), "url", "left_semi")
     wanted = (
         urls.join(latest_captures(pages), "url", "left")
