@@ -2,25 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_dirs: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``. Only a local-mode session may do without."""
+    """The folder named by ``spark.checkpoint.dir``.
+
+    Only local mode may go without that setting; its tables then go below the warehouse, never to a
+    temporary folder. Every other master, ``local-cluster`` included, has to name a shared folder.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
+        return named.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_dirs:
-        _local_dirs[app] = tempfile.mkdtemp(prefix="pagework-")
-    return _local_dirs[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
