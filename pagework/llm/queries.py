@@ -8,12 +8,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagework.llm.common import table
+from pagework.llm.decontaminate import contamination
 from pagework.llm.packing import pack
 from pagework.llm.simhash_tiles import simhash_groups
 from pagework.llm.substring_dedup import drop_repeated_windows
+from pagework.llm.token_planes import read_planes, write_planes
 from pagework.llm.tokens import default_tokenizer
 
 
+def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return out.select("doc_id", "n_words", "n_hit", "n_items", digest, "contaminated")
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), default_tokenizer())
 
@@ -28,6 +36,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = write_planes(table(spark, sf_dir, "documents"), default_tokenizer())
+    return read_planes(spark, path).drop("ids")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_best_fit_packing, op6_simhash_near_dedup, op8_substring_dedup)
+    f.__name__: f for f in (op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op8_substring_dedup, op10_token_planes)
 }
