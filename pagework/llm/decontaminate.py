@@ -62,8 +62,8 @@ def contamination(
     docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id",
     item_text_col: str = "text", window: int = 10, gram: int = GRAM,
 ) -> DataFrame:
-    """One row per row of ``docs``: ``id_col`` and ``n_words, n_hit, n_items, items`` (ids as sorted strings),
-    ``spans`` (array of [start, end) word numbers, maximal), ``contaminated``.
+    """One row per row of ``docs``: ``id_col`` and ``text_hash, n_words, n_hit, n_items, items`` (ids as
+    sorted strings), ``spans`` (array of [start, end) word numbers, maximal), ``contaminated``.
 
     Null and empty texts have no words and no hits; so have items without words. Rows are told apart
     by id and text: rows with the same id and the same text are judged alike, null ids included.
@@ -101,7 +101,7 @@ def contamination(
     joined = counted.join(judged, on=[counted.id.eqNullSafe(judged.hit_id), counted.mark == judged.hit_mark], how="left")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return joined.select(
-        F.col("id").alias(id_col), F.col("n").cast("long").alias("n_words"),
+        F.col("id").alias(id_col), F.col("mark").alias("text_hash"), F.col("n").cast("long").alias("n_words"),
         F.coalesce(n_hit, F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size(F.coalesce("items", F.array())), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"),
@@ -144,6 +144,9 @@ def _short(worded: DataFrame, windows: DataFrame, size: int) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """``docs`` without the rows that hold a window of an item; all columns stay."""
-    judged = contamination(docs, items, id_col, text_col, **options).filter("contaminated").select(F.col(id_col).alias("_id"))
-    return docs.join(judged, docs[quoted(id_col)].eqNullSafe(judged["_id"]), "left_anti")
+    """``docs`` without the rows that hold a window of an item; all columns stay. Rows are told apart by
+    id and text, so a clean row stays even where its id is null or repeated."""
+    judged = contamination(docs, items, id_col, text_col, **options).filter("contaminated")
+    gone = materialize(judged.select(F.col(id_col).alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "contaminated")
+    same = docs[quoted(id_col)].eqNullSafe(gone["_id"]) & (F.xxhash64(docs[quoted(text_col)]) == gone["_hash"])
+    return docs.join(gone, same, "left_anti")

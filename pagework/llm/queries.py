@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpus_pipeline import run
 from pagework.llm.chat_format import format_chats, read_loss, read_turns
 from pagework.llm.common import table
 from pagework.llm.decontaminate import contamination
@@ -64,6 +65,10 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(spark, path).drop("ids")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run(spark, sf_dir)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_machine, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op10_token_planes)
+    f.__name__: f for f in (op1_toxicity_machine, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op10_token_planes, pipeline)
 }

@@ -191,6 +191,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     one stays, whichever Spark meets first.
     """
     groups = simhash_groups(docs.filter(F.col(quoted(id_col)).isNotNull()), id_col, text_col, shingle, radius)
-    keep = groups.filter(F.col(id_col) == F.col("component_id")).select(F.col(id_col).alias(id_col)).distinct()
-    kept = docs.join(keep, on=docs[quoted(id_col)].eqNullSafe(keep[quoted(id_col)]), how="left_semi")
-    return kept.dropDuplicates([id_col]).unionAll(docs.filter(F.col(quoted(id_col)).isNull()))
+    keep = materialize(groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "kept")
+    # The sorted join leaves the rows of an id together, so the last step needs no shuffle of its own.
+    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    return kept.unionAll(docs.filter(F.col(quoted(id_col)).isNull()))
