@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pagework.llm.common import UPPER, quoted
 from pagework.plans.materialize import materialize
 
-GRAM = 5
+GRAM = 4
+_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -31,11 +32,18 @@ def _fingerprints(texts: DataFrame, key: str, gram: int, window: int) -> DataFra
     the whole array; ties take the first. Texts below ``window`` words have no marks.
     """
     w = window - gram + 1
-    hashed = texts.selectExpr(
-        key, "words",
-        f"IF(size(words) >= {window}, transform(sequence(1, size(words) - {gram - 1}), "
-        f"i -> struct(xxhash64(slice(words, i, {gram})) AS h, i AS at)), array()) AS least",
-    )
+    # Hashes of words, then of pairs of neighbouring grams until they are ``gram`` words long.
+    hashed = texts.selectExpr(key, "words", f"IF(size(words) >= {window}, transform(words, x -> xxhash64(x)), array()) AS g")
+    length = 1
+    while length < gram:
+        by = min(length, gram - length)
+        hashed = hashed.selectExpr(
+            key, "words",
+            f"zip_with(slice(g, 1, greatest(size(g) - {by}, 0)), slice(g, {by + 1}, greatest(size(g) - {by}, 0)), "
+            "(a, b) -> xxhash64(a, b)) AS g",
+        )
+        length += by
+    hashed = hashed.selectExpr(key, "words", "transform(g, (h, i) -> struct(h, i + 1 AS at)) AS least")
     step = 1
     while step < w:
         by = min(step, w - step)
@@ -45,7 +53,8 @@ def _fingerprints(texts: DataFrame, key: str, gram: int, window: int) -> DataFra
             "(a, b) -> IF(a.h <= b.h, a, b)) AS least",
         )
         step += by
-    return hashed.selectExpr(key, "words", "array_distinct(least) AS marks")
+    # A kept gram is the least of neighbouring windows, so its repeats stand side by side.
+    return hashed.selectExpr(key, "words", "filter(least, (m, i) -> i = 0 OR get(least, i - 1).at <> m.at) AS marks")
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text", window: int = 10) -> DataFrame:
@@ -97,7 +106,10 @@ def contamination(
             "ELSE concat(spans, array(struct(s.start AS start, s.start + s.size AS end))) END)"
         ).alias("spans"),
     )
-    counted = worded.selectExpr("id", "mark", "size(words) AS n")
+    # Counting needs neither lower case nor the words themselves.
+    text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
+    counted = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(quoted(text_col)).alias("mark"),
+                          F.regexp_count(text, F.lit(_WORD)).alias("n"))
     joined = counted.join(judged, on=[counted.id.eqNullSafe(judged.hit_id), counted.mark == judged.hit_mark], how="left")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return joined.select(
@@ -119,7 +131,7 @@ def _candidates(worded: DataFrame, items: DataFrame, item_text_col: str, window:
     shuffled semi-join, which keeps every row and never multiplies.
     """
     marks = _fingerprints(items.select(_words(item_text_col).alias("words"), F.lit(0).alias("none")), "none", gram, window)
-    wanted = materialize(marks.selectExpr("explode(marks.h) AS h").distinct(), "marks")
+    wanted = materialize(marks.selectExpr("inline(transform(marks, m -> struct(m.h AS h)))").distinct(), "marks")
     both = _fingerprints(worded.selectExpr("struct(id, mark) AS key", "words"), "key", gram, window)
     reach = window - gram
     around = both.selectExpr(
