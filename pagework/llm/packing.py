@@ -75,8 +75,8 @@ def token_pieces(
         encoder = Encoder.of(tokenizer)
         for batch in batches:
             row, numbers, starts, lengths, crcs, parts = [], [], [], [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
-                ids = encoder.encode(text) + end
+            for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
+                ids += end
                 total = len(ids) // 4
                 at, number = 0, 0
                 while at < total:

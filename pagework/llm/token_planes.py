@@ -111,9 +111,9 @@ def write_planes(
             at, ends = at + sum(map(len, frames)), []
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for key, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 out = out or files.open_output_stream(f"{folder}/files/{name}")
-                ids = encoder.encode(text) + end
+                ids += end
                 length = len(ids) // 4
                 while held + len(ids) // 4 >= block_ids:
                     cut = 4 * (block_ids - held)
