@@ -15,7 +15,7 @@ from pagework.llm.common import UPPER, quoted
 from pagework.plans.materialize import materialize
 
 GRAM = 4
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
+_BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # before lower-casing
 _SPLIT = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
@@ -106,10 +106,12 @@ def contamination(
             "ELSE concat(spans, array(struct(s.start AS start, s.start + s.size AS end))) END)"
         ).alias("spans"),
     )
-    # Counting needs neither lower case nor the words themselves.
+    # Counting needs neither lower case nor the words: the pieces between, less an empty first and last one.
     text = F.coalesce(F.col(quoted(text_col)), F.lit(""))
-    counted = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(quoted(text_col)).alias("mark"),
-                          F.regexp_count(text, F.lit(_WORD)).alias("n"))
+    cut = docs.select(F.col(quoted(id_col)).alias("id"), F.xxhash64(quoted(text_col)).alias("mark"), F.split(text, _BETWEEN).alias("cut"))
+    counted = cut.selectExpr(
+        "id", "mark", "size(cut) - IF(cut[0] = '', 1, 0) - IF(size(cut) > 1 AND element_at(cut, -1) = '', 1, 0) AS n"
+    )
     joined = counted.join(judged, on=[counted.id.eqNullSafe(judged.hit_id), counted.mark == judged.hit_mark], how="left")
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return joined.select(
