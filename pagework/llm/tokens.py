@@ -14,8 +14,11 @@ import sys
 from array import array
 from collections.abc import Iterator
 
+import numpy as np
+
 END_ID = 2
-CACHED_PIECES = 400_000  # of a worker; when they are full, long pieces go, or all
+CACHED_PIECES = 1_500_000  # of a worker, about 200 bytes each; when they are full, long pieces go, or all
+WORDS_AT_ONCE = 256
 SLICE_CHARS = 1 << 20
 MARKS = ".,;:!?"
 MARKS_SET = frozenset(MARKS)
@@ -39,6 +42,7 @@ class Encoder:
         self.later: dict[str, bytes] = {}  # words behind a space
         self.marks: dict[str, bytes] = {}
         self.line_end = self._ids(["\n"])[0]
+        self.line_end_id = int.from_bytes(self.line_end, "little")
 
     @classmethod
     def of(cls, path: str) -> "Encoder":
@@ -63,11 +67,21 @@ class Encoder:
         marked = [w for w, stem in stems.items() if stem and stem[-1].isalnum()]
         fresh = list({*new.difference(marked), *(stems[w] for w in marked)}.difference(known))
         if fresh:
-            known.update(zip(fresh, self._ids([space + w for w in fresh])))
+            self._learn_all(known, fresh, "\n" + space)
         for w in marked:
             stem = stems[w]
             known[w] = known[stem] + self._mark(w[len(stem):])
 
+    def _learn_all(self, known: dict[str, bytes], words: list[str], between: str) -> None:
+        """Many words in one text, each behind a line end, whose id no word has."""
+        at = range(0, len(words), WORDS_AT_ONCE)
+        texts = [between + between.join(words[i : i + WORDS_AT_ONCE]) for i in at]
+        for i, data in zip(at, self._ids(texts)):
+            ends = np.append(np.flatnonzero(np.frombuffer(data, "<u4") == self.line_end_id), len(data) // 4) * 4
+            bounds = ends.tolist()
+            for word, lo, hi in zip(words[i : i + WORDS_AT_ONCE], bounds, bounds[1:]):
+                known[word] = data[lo + 4 : hi]
+
     def _mark(self, marks: str) -> bytes:
         if marks not in self.marks:
             self.marks[marks] = self._ids([marks])[0]
