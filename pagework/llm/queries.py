@@ -62,7 +62,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_planes(table(spark, sf_dir, "documents"), default_tokenizer())
-    return read_planes(spark, path).drop("ids")
+    return read_planes(spark, path, with_ids=False)
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

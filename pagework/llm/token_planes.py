@@ -72,7 +72,7 @@ def _store(path: str):
 
 def write_planes(
     docs: DataFrame, tokenizer: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
-    end_id: int = END_ID, block_ids: int = BLOCK_IDS, bits: bool = False, level: int = 3,
+    end_id: int = END_ID, block_ids: int = BLOCK_IDS, bits: bool = False, level: int = 1,
 ) -> str:
     """Write all ids in ascending order of ``id_col``, each document followed by ``end_id``; gives the path.
 
@@ -138,8 +138,8 @@ def write_planes(
     return path
 
 
-def read_planes(spark: SparkSession, path: str, bits: bool = False) -> DataFrame:
-    """``doc_id, start, n_tokens, ids_crc32, ids`` (little-endian bytes) of every document, from the files."""
+def read_planes(spark: SparkSession, path: str, bits: bool = False, with_ids: bool = True) -> DataFrame:
+    """``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids`` (little-endian bytes) of every document, from the files."""
     index = spark.read.parquet(path + "/index")
     totals = index.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     # One row per file: the running sum of these is small.
@@ -151,7 +151,7 @@ def read_planes(spark: SparkSession, path: str, bits: bool = False) -> DataFrame
     ).join(firsts, "shard").select("shard", "blocks", F.coalesce("first", F.lit(0)).alias("first"))
     doc_type = index.schema["doc_ids"].dataType.elementType
     schema = StructType([StructField("doc_id", doc_type), *(StructField(n, LongType()) for n in ("start", "n_tokens", "ids_crc32")),
-                         StructField("ids", BinaryType())])
+                         *[StructField("ids", BinaryType())] * with_ids])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = _store(path)
@@ -172,11 +172,12 @@ def read_planes(spark: SparkSession, path: str, bits: bool = False) -> DataFrame
                         starts.append(start)
                         lengths.append(n)
                         crcs.append(zlib.crc32(ids))
-                        contents.append(ids)
+                        if with_ids:
+                            contents.append(ids)
                         start, at = start + n, at + 4 * n
                     rest = data[at:]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys, to_arrow_type(doc_type)), pa.array(starts, pa.int64()), pa.array(lengths, pa.int64()),
-                     pa.array(crcs, pa.int64()), pa.array(contents, pa.binary())], names=schema.names)
+                     pa.array(crcs, pa.int64()), *[pa.array(contents, pa.binary())] * with_ids], names=schema.names)
 
     return files.mapInArrow(run, schema)
