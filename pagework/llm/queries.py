@@ -14,6 +14,7 @@ from pagework.llm.decontaminate import contamination
 from pagework.llm.packing import pack
 from pagework.llm.simhash_tiles import simhash_groups
 from pagework.llm.substring_dedup import drop_repeated_windows
+from pagework.llm.suffix_dedup import drop_earlier_strings
 from pagework.llm.token_planes import read_planes, write_planes
 from pagework.llm.tokens import default_tokenizer
 from pagework.llm.toxicity import fit_toxicity, held_out, score_toxicity
@@ -60,6 +61,12 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_earlier_strings(table(spark, sf_dir, "documents"))
+    digest = F.sha2("kept_bytes", 256).alias("kept_sha256")
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = write_planes(table(spark, sf_dir, "documents"), default_tokenizer())
     return read_planes(spark, path, with_ids=False)
@@ -70,5 +77,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_machine, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op10_token_planes, pipeline)
+    f.__name__: f for f in (op1_toxicity_machine, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, pipeline)
 }

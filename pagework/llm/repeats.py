@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pagework.llm.common import others, pieces, quoted, text_bytes
 
 BLOCK_BYTES = 4 << 20
+HOT_BLOCKS = 200  # a hash in more blocks than that is reported as hot
 RANGE_HASHES = 2_000_000  # expected distinct hashes in the task of one range
 
 
@@ -50,10 +51,11 @@ def range_of(hashes: np.ndarray, ranges: int) -> np.ndarray:
 def repeated_hashes(
     blocks: Blocks, hashes_of: Callable[[pa.Table], np.ndarray], expected: int
 ) -> tuple[DataFrame, int]:
-    """Bits of the hashes that occur in two blocks or more: ``_block, range, bits``, and the number of ranges.
+    """Bits of the hashes that occur in two blocks or more: ``_block, range, bits, hot``, and the number of ranges.
 
     ``hashes_of`` gives the hashes of a block, in any order, repeats included. ``bits`` belong to
-    the block's distinct hashes of the range in ascending order.
+    the block's distinct hashes of the range in ascending order; ``hot`` likewise, for hashes in
+    more than ``HOT_BLOCKS`` blocks.
     """
     ranges = pieces(expected, RANGE_HASHES)
 
@@ -72,25 +74,31 @@ def repeated_hashes(
 
     def count(rows: pa.Table) -> pa.Table:
         parts = [np.frombuffer(x, np.uint64) for x in rows["hashes"].to_pylist()]
-        everything = np.sort(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
-        twice = everything[1:][everything[1:] == everything[:-1]]
-        bits = []
-        for p in parts:
-            at = np.searchsorted(twice, p)
-            at[at == len(twice)] = 0
-            hit = twice[at] == p if len(twice) else np.zeros(len(p), bool)
-            bits.append(np.packbits(hit).tobytes())
-        return pa.table({"_block": rows["_block"], "range": rows["range"], "bits": pa.array(bits, pa.binary())})
+        everything = np.sort(np.concatenate(parts))
+        twice = np.unique(everything[1:][everything[1:] == everything[:-1]])
+        hot = np.unique(everything[HOT_BLOCKS:][everything[HOT_BLOCKS:] == everything[: max(0, len(everything) - HOT_BLOCKS)]])
+        bits = [[np.packbits(member(p, those)).tobytes() for p in parts] for those in (twice, hot)]
+        return pa.table({"_block": rows["_block"], "range": rows["range"],
+                         "bits": pa.array(bits[0], pa.binary()), "hot": pa.array(bits[1], pa.binary())})
 
     sent = blocks.docs.groupBy("_block").applyInArrow(send, "_block int, range int, hashes binary")
-    return sent.groupBy("range").applyInArrow(count, "_block int, range int, bits binary"), ranges
+    return sent.groupBy("range").applyInArrow(count, "_block int, range int, bits binary, hot binary"), ranges
 
 
-def read_bits(answer: pa.Table, distinct: np.ndarray, ranges: int) -> np.ndarray:
+def member(values: np.ndarray, those: np.ndarray) -> np.ndarray:
+    """Which of ``values`` are among ``those``, which are sorted."""
+    if not len(those):
+        return np.zeros(len(values), bool)
+    at = np.searchsorted(those, values)
+    at[at == len(those)] = 0
+    return those[at] == values
+
+
+def read_bits(answer: pa.Table, distinct: np.ndarray, ranges: int, column: str = "bits") -> np.ndarray:
     """For each of the block's distinct hashes (ascending): whether another block has it too."""
     number = range_of(distinct, ranges)
     out = np.zeros(len(distinct), bool)
-    for r, bits in zip(answer["range"].to_pylist(), answer["bits"].to_pylist()):
+    for r, bits in zip(answer["range"].to_pylist(), answer[column].to_pylist()):
         lo, hi = np.searchsorted(number, (r, r + 1))
         out[lo:hi] = np.unpackbits(np.frombuffer(bits, np.uint8), count=hi - lo)
     return out
