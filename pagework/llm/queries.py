@@ -11,7 +11,9 @@ from corpus_pipeline import run
 from pagework.llm.chat_format import format_chats, read_loss, read_turns
 from pagework.llm.common import table
 from pagework.llm.decontaminate import contamination
+from pagework.llm.html_consensus import extract_pages
 from pagework.llm.packing import pack
+from pagework.llm.quality_rules import judge_quality
 from pagework.llm.simhash_tiles import simhash_groups
 from pagework.llm.substring_dedup import drop_repeated_windows
 from pagework.llm.suffix_dedup import drop_earlier_strings
@@ -27,6 +29,15 @@ def op1_toxicity_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(F.col("doc_id")))
+    return judge_quality(table(spark, sf_dir, "documents"), labels)[0]
+
+
+def op3_html_consensus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
@@ -77,5 +88,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_machine, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, pipeline)
+    f.__name__: f for f in (op1_toxicity_machine, op2_quality_rules, op3_html_consensus, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, pipeline)
 }
