@@ -55,15 +55,15 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, known: dict[str, bytes], words: set[str], space: str) -> None:
-        new = words.difference(known)
+        """Words without white space only: a text of known words has none but what it was cut at."""
+        new = {w for w in words if w.split() == [w]}
         if len(known) + len(new) > CACHED_PIECES:
             for word in [w for w in known if len(w) > 10]:
                 del known[word]
             if 2 * len(known) > CACHED_PIECES:
                 known.clear()
-            new = words.difference(known)
         # A mark behind a letter or a digit begins a piece of its own, so such words go by their stems.
-        stems = {w: w.rstrip(MARKS) for w in new if w[-1:] in MARKS_SET}
+        stems = {w: w.rstrip(MARKS) for w in new if w[-1] in MARKS_SET}
         marked = [w for w, stem in stems.items() if stem and stem[-1].isalnum()]
         fresh = list({*new.difference(marked), *(stems[w] for w in marked)}.difference(known))
         if fresh:
@@ -87,20 +87,32 @@ class Encoder:
             self.marks[marks] = self._ids([marks])[0]
         return self.marks[marks]
 
+    def _look(self, line: list[str]) -> list[bytes | None]:
+        return [self.first.get(line[0]), *map(self.later.get, line[1:])]
+
     def _encode(self, texts: list[str]) -> list[bytes]:
-        plain: list[list[list[str]] | None] = []
+        at_start: set[str] = set()
+        behind: set[str] = set()
+        found = []
         for t in texts:
-            single = len(t.split()) == t.count(" ") + t.count("\n") + 1
-            plain.append([line.split(" ") for line in t.split("\n")] if single else None)
-        self._learn(self.first, {line[0] for lines in plain if lines for line in lines}, "")
-        self._learn(self.later, set().union(*(line[1:] for lines in plain if lines for line in lines)), " ")
-        odd = iter(self._ids([t for t, lines in zip(texts, plain) if lines is None]))
-        first, later = self.first, self.later.__getitem__
-        return [
-            next(odd) if lines is None
-            else self.line_end.join([first[line[0]] + b"".join(map(later, line[1:])) for line in lines])
-            for lines in plain
-        ]
+            lines = [line.split(" ") for line in t.split("\n")]
+            got = [self._look(line) for line in lines]
+            open_lines = [i for i, ids in enumerate(got) if None in ids]
+            for i in open_lines:
+                if got[i][0] is None:
+                    at_start.add(lines[i][0])
+                behind.update([w for w, ids in zip(lines[i][1:], got[i][1:]) if ids is None])
+            found.append((got, [(i, lines[i]) for i in open_lines]))
+        self._learn(self.first, at_start, "")
+        self._learn(self.later, behind, " ")
+        odd = []
+        for k, (got, missing) in enumerate(found):
+            for i, line in missing:
+                got[i] = self._look(line)
+            if any(None in got[i] for i, _ in missing):
+                odd.append(k)
+        whole = dict(zip(odd, self._ids([texts[k] for k in odd]))) if odd else {}
+        return [whole[k] if k in whole else self.line_end.join(map(b"".join, got)) for k, (got, _) in enumerate(found)]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text; null and empty texts have none."""
