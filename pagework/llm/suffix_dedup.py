@@ -13,7 +13,6 @@ of documents as intervals of window starts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,13 +26,19 @@ from pagework.llm.substring_dedup import BYTE_BASE, BYTE_VALUES, mix, powers, ru
 
 ANCHOR = 40
 PARTITION_BYTES = 2 << 20
+BLOCK_BYTES = 2 << 20  # hashing takes about 60 bytes for each
 BATCH_BYTES = 256 << 10
 RESULTS = ("n_bytes", "n_removed", "n_spans", "spans", "kept_bytes")
 
 
-@lru_cache(maxsize=2)
-def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return powers(BYTE_BASE, size), powers(pow(BYTE_BASE, -1, 1 << 64), size)
+_tables: list[np.ndarray] = []  # of a worker: powers of the base and of its inverse, as long as any block needed
+
+
+def _powers(size: int) -> list[np.ndarray]:
+    if not _tables or len(_tables[0]) < size:
+        size = -(-size // (1 << 20)) << 20
+        _tables[:] = [powers(BYTE_BASE, size), powers(pow(BYTE_BASE, -1, 1 << 64), size)]
+    return _tables
 
 
 class Bytes:
@@ -46,7 +51,7 @@ class Bytes:
         self.bounds = np.cumsum([0, *map(len, encoded)])
         self.raw = np.frombuffer(self.data, np.uint8)
         n = len(self.raw)
-        up, self.back = _powers(1 << max(16, (n + 1).bit_length()))
+        up, self.back = _powers(n + 1)
         self.sums = np.zeros(n + 1, np.uint64)
         np.cumsum(BYTE_VALUES[self.raw] * up[:n], out=self.sums[1:])
 
@@ -125,7 +130,7 @@ def drop_earlier_strings(
     of one id are ordered by a hash and their texts, so of repeated rows the first keeps its bytes.
     Null and empty texts are empty. Every row comes out once; an empty table gives none.
     """
-    blocks = Blocks(docs, id_col, text_col, RESULTS)
+    blocks = Blocks(docs, id_col, text_col, RESULTS, BLOCK_BYTES)
     id_type = blocks.fields["_id"]
 
     def hashes_of(block: pa.Table) -> np.ndarray:
