@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from pagework.llm.common import others, pieces, quoted, text_bytes
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 HOT_BLOCKS = 2000  # a hash in more blocks than that is reported as hot
 RANGE_HASHES = 2_000_000  # expected distinct hashes in the task of one range
 

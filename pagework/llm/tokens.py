@@ -17,7 +17,7 @@ from collections.abc import Iterator
 import numpy as np
 
 END_ID = 2
-CACHED_PIECES = 1_500_000  # of a worker, about 200 bytes each; when they are full, long pieces go, or all
+CACHED_PIECES = 700_000  # of a worker, about 200 bytes each; when they are full, long pieces go, or all
 WORDS_AT_ONCE = 256
 SLICE_CHARS = 1 << 20
 MARKS = ".,;:!?"

@@ -159,7 +159,7 @@ def score_toxicity(docs: DataFrame, machine: Machine, text_col: str = "text", th
     keep = [c for c in docs.columns if c in set(others(docs, RESULTS))]
     at = keep.index(text_col)
     place = {int(t): i for i, t in enumerate(machine.terms)}
-    remembered = 300_000
+    remembered = 100_000
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms: dict[str, tuple[int, ...]] = {}
