@@ -156,12 +156,16 @@ def drop_earlier_strings(
             hashes = np.where(single, texts.hashes(window, first), hashes)
         held: set[bytes] = set()
         contents: list[bytes | None] = []
+        keys = hashes.copy()
         for a, b in zip(first.tolist(), (last + window - 1).tolist()):
             content = texts.data[a:b]
             contents.append(None if content in held else content)  # a copy within the block: all of it is there before
             held.add(content)
+        # What is decided already need not meet its anchor's partition, however common the anchor is.
+        decided = np.flatnonzero([c is None for c in contents])
+        keys[decided] = mix(first[decided].astype(np.uint64))
         return pa.table({
-            "key": pa.array(hashes.view(np.int64)), "_block": pa.array([block["_block"][0].as_py()] * len(first) if len(first) else [], pa.int32()),
+            "key": pa.array(keys.view(np.int64)), "_block": pa.array([block["_block"][0].as_py()] * len(first) if len(first) else [], pa.int32()),
             "_id": block["_id"].take(pa.array(text)), "row": pa.array(text.astype(np.int32)),
             "start": pa.array(first - texts.bounds[text]), "windows": pa.array(last - first), "content": pa.array(contents, pa.binary()),
         })
