@@ -1,9 +1,9 @@
 """Readable reports.
 
-A report of n responses numbers its parts i/n. Positions come from counts per bucket of positions,
-so no task ever ranks or joins up more than ``bucket`` responses of a request, and a very long report
-comes out as several segments whose texts, read in order, are the report. Ordinary requests have
-exactly one segment.
+A report is a row per part: ``part`` of ``total``, numbered inside its request, whatever the size.
+The texts of a report, read in order of their parts, are the report. Numbers come from counts per
+bucket of positions and ranks inside a bucket, so no task ranks a whole long request; the bucket
+size changes how the work is cut, never the rows.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagework import errors
-from pagework.functions.text import let, q
+from pagework.functions.text import q
 from pagework.functions.urls import extract_urls, filter_valid, strip_url
 from pagework.operators.batch import parse_batch
 from pagework.operators.engines import message
@@ -32,51 +32,43 @@ def format_response() -> str:
     return f"CASE WHEN success THEN {good} ELSE {failed} END"
 
 
-def _bucket_offsets(df: DataFrame, group: str, flags: dict[str, str]) -> DataFrame:
-    """Per (group, bucket): how many rows of each flag come before it, and in the whole group."""
-    counts = df.groupBy(group, "_bucket").agg(*[F.count_if(F.expr(c)).alias(n) for n, c in flags.items()])
-    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(group)
-    return counts.select(
-        group,
-        "_bucket",
-        *[F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"{n}_before") for n in flags],
-        *[F.sum(n).over(whole).alias(f"{n}_all") for n in flags],
-        F.count(F.lit(1)).over(whole).alias("_buckets"),
-        (F.row_number().over(Window.partitionBy(group).orderBy("_bucket")) - 1).alias("_segment"),
+def _numbered(df: DataFrame, group: str, flag: str, bucket: int) -> DataFrame:
+    """``df`` with ``_i`` and ``_n``: rank (from 1) and number of the rows of its group with the same ``flag``."""
+    cut = df.withColumn("_bucket", F.expr(f"pos div {bucket}"))
+    counts = cut.groupBy(group, flag, "_bucket").agg(F.count("*").alias("_c"))
+    inside = Window.partitionBy(group, flag).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        group, flag, "_bucket", F.coalesce(F.sum("_c").over(inside), F.lit(0)).alias("_before"),
+        F.sum("_c").over(Window.partitionBy(group, flag)).alias("_n"),
     )
+    rank = F.row_number().over(Window.partitionBy(group, flag, "_bucket").orderBy("pos"))
+    ranked = cut.withColumn("_rank", rank)
+    return ranked.join(offsets, [group, flag, "_bucket"]).withColumn("_i", F.col("_before") + F.col("_rank"))
 
 
-def _numbered(entries: str, before: str, total: str, text: str) -> str:
-    """Parts with their 'i/n' headers (none for a single part), each led by its separator."""
-    number = f"({before} + i + 1)"
-    lead = f"CASE WHEN {number} > 1 THEN '\\n\\n' ELSE '' END"
-    header = f"CASE WHEN {total} > 1 THEN concat('=== Result ', {number}, '/', {total}, ' ===\\n') ELSE '' END"
-    return f"array_join(transform({entries}, (e, i) -> concat({lead}, {header}, e.{text})), '')"
+def _headed(text: str) -> str:
+    """A part with its 'i/n' header (none for a single part), led by its separator."""
+    lead = "CASE WHEN _i > 1 THEN '\\n\\n' ELSE '' END"
+    header = "CASE WHEN _n > 1 THEN concat('=== Result ', _i, '/', _n, ' ===\\n') ELSE '' END"
+    return f"concat({lead}, {header}, {text})"
 
 
 def format_responses(
     responses: DataFrame, group: str = "request_id", requests: DataFrame | None = None, bucket: int = BUCKET
 ) -> DataFrame:
-    """(group, segment, text). ``responses`` has the group column, ``pos`` as a whole number that
-    orders the responses of a group, and the response columns; pass a written table, it is read twice.
-    With ``requests``, groups without responses get a fixed text.
+    """(group, part, total, text), a row per response. ``responses`` has the group column, ``pos`` as a
+    whole number that orders the responses of a group, and the response columns; pass a written
+    table, it is read twice. With ``requests``, groups without responses get one part, a fixed text.
     """
-    parts = responses.withColumn("_bucket", F.expr(f"pos div {bucket}"))
-    offsets = _bucket_offsets(parts.select(group, "_bucket"), group, {"n": "true"})
-    entry = F.struct("pos", F.expr(format_response()).alias("text"))
-    packed = parts.groupBy(group, "_bucket").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    out = packed.join(offsets, [group, "_bucket"]).selectExpr(
-        group, "CAST(_segment AS BIGINT) AS segment",
-        f"{_numbered('entries', 'n_before', 'n_all', 'text')} AS text",
+    entries = responses.select(group, "pos", F.expr(format_response()).alias("text"), F.lit(True).alias("_one"))
+    out = _numbered(entries, group, "_one", bucket).selectExpr(
+        group, "_i AS part", "_n AS total", f"{_headed('text')} AS text"
     )
     if requests is None:
         return out
     # Only ids meet in this join: the texts of a long report must not gather in one task.
     empty = requests.select(group).join(responses.select(group).distinct(), group, "left_anti")
-    return out.unionByName(
-        empty.select(group, F.lit(0).cast("bigint").alias("segment"), F.lit(errors.NO_RESULTS).alias("text"))
-    )
+    return out.unionByName(empty.selectExpr(group, "1L AS part", "1L AS total", f"{q(errors.NO_RESULTS)} AS text"))
 
 
 def _inputs(requests: DataFrame) -> DataFrame:
@@ -95,7 +87,7 @@ def _inputs(requests: DataFrame) -> DataFrame:
 def execute_requests(
     requests: DataFrame, pages: DataFrame, bucket: int = BUCKET, **parse_options
 ) -> DataFrame:
-    """(request_id, segment, ok, code, text) for every request (request_id, text).
+    """(request_id, part, total, ok, code, text) for every request (request_id, text), a row per response.
 
     A request fails as a whole when it is blank, names no usable URL, or all its URLs fail. Otherwise
     its report shows the successes, numbered among themselves, and then lists the failed URLs.
@@ -105,38 +97,23 @@ def execute_requests(
     urls = urls.withColumn("pos", F.col("pos").cast("bigint"))
     parsed = parse_batch(urls, pages, **parse_options)
     # Counting comes before writing: without a written table every URL would be parsed twice.
-    parsed = materialize(parsed, "responses").withColumn("_bucket", F.expr(f"pos div {bucket}"))
-
-    offsets = _bucket_offsets(
-        parsed.select("request_id", "_bucket", "success"), "request_id", {"good": "success", "bad": "NOT success"}
-    )
-    entry = F.struct(
-        "pos", "success", "url", F.coalesce("error", F.lit(errors.UNKNOWN_ERROR)).alias("error"),
+    parsed = materialize(parsed, "responses")
+    entries = parsed.select(
+        "request_id", "pos", "success", "url", F.coalesce("error", F.lit(errors.UNKNOWN_ERROR)).alias("error"),
         F.expr(f"CASE WHEN success THEN {format_response()} END").alias("text"),
     )
-    packed = parsed.groupBy("request_id", "_bucket").agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    joined = packed.join(offsets, ["request_id", "_bucket"])
-
-    good = _numbered("filter(entries, x -> x.success)", "good_before", "good_all", "text")
-    section = f"CASE WHEN bad_before + i = 0 THEN {q(errors.FAILED_SECTION)} ELSE '\\n' END"
-    only = f"CASE WHEN bad_before + i = 0 THEN {q(errors.ALL_FAILED_PREFIX)} ELSE '; ' END"
-    line = f"CASE WHEN good_all > 0 THEN concat({section}, e.url, ': ', e.error) ELSE concat({only}, e.error) END"
-    bad = f"array_join(transform(filter(entries, x -> NOT x.success), (e, i) -> {line}), '')"
-    # One bucket: one segment. Several: all segments of the successes, then all of the failures.
-    pieces = let(
-        f"named_struct('good', {good}, 'bad', {bad})",
-        lambda p: (
-            f"CASE WHEN _buckets = 1 THEN array(named_struct('segment', 0L, 'text', concat({p}.good, {p}.bad))) "
-            f"ELSE filter(array(named_struct('segment', CAST(_segment AS BIGINT), 'text', {p}.good), "
-            f"named_struct('segment', CAST(_buckets + _segment AS BIGINT), 'text', {p}.bad)), x -> x.text <> '') END"
-        ),
-    )
-    done = joined.selectExpr("request_id", "good_all > 0 AS ok", f"explode({pieces}) AS p").selectExpr(
-        "request_id", "p.segment AS segment", "ok",
-        f"CASE WHEN NOT ok THEN {q(errors.ALL_FAILED)} END AS code", "p.text AS text",
+    good = parsed.groupBy("request_id").agg(F.count_if("success").alias("_good"), F.count("*").alias("_all"))
+    joined = _numbered(entries, "request_id", "success", bucket).join(good, "request_id")
+    section = f"CASE WHEN _i = 1 THEN {q(errors.FAILED_SECTION)} ELSE '\\n' END"
+    only = f"CASE WHEN _i = 1 THEN {q(errors.ALL_FAILED_PREFIX)} ELSE '; ' END"
+    failed = f"CASE WHEN _good > 0 THEN concat({section}, url, ': ', error) ELSE concat({only}, error) END"
+    done = joined.selectExpr(
+        "request_id", "CASE WHEN success THEN _i ELSE _good + _i END AS part", "_all AS total", "_good > 0 AS ok",
+        f"CASE WHEN _good = 0 THEN {q(errors.ALL_FAILED)} END AS code",
+        f"CASE WHEN success THEN {_headed('text')} ELSE {failed} END AS text",
     )
     # A request with a usable URL has at least one response, so the two parts cover all requests.
     refused = inputs.filter(F.col("_code").isNotNull()).selectExpr(
-        "request_id", "0L AS segment", "false AS ok", "_code AS code", f"{message('_code')} AS text"
+        "request_id", "1L AS part", "1L AS total", "false AS ok", "_code AS code", f"{message('_code')} AS text"
     )
     return done.unionByName(refused)
