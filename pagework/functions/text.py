@@ -119,13 +119,14 @@ def code_point_to_string(n: str) -> str:
 
 def _decode_numeric(c: str) -> str:
     def piece(s: str, i: str) -> str:
-        dec, hexa = extract(s, "^([0-9]{1,7});"), extract(s, "^[xX]([0-9a-fA-F]{1,6});")
+        dec, hexa = extract(s, "^0*([0-9]{1,7});"), extract(s, "^[xX]0*([0-9a-fA-F]{1,6});")
+        beyond = matches(s, "^(0*[1-9][0-9]{7,}|[xX]0*[1-9a-fA-F][0-9a-fA-F]{6,});")  # past the last code point
         rest = f"substr({s}, locate(';', {s}) + 1)"
         from_dec = code_point_to_string(f"try_cast({dec} AS BIGINT)")
         from_hex = code_point_to_string(f"try_cast(conv({hexa}, 16, 10) AS BIGINT)")
         return (
             f"CASE WHEN {i} = 0 THEN {s} WHEN {dec} <> '' THEN concat({from_dec}, {rest}) "
-            f"WHEN {hexa} <> '' THEN concat({from_hex}, {rest}) ELSE concat('&#', {s}) END"
+            f"WHEN {hexa} <> '' THEN concat({from_hex}, {rest}) WHEN {beyond} THEN concat(decode(unhex('FFFD'), 'UTF-16BE'), {rest}) ELSE concat('&#', {s}) END"
         )
 
     def decoded(x: str) -> str:

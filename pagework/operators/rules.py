@@ -173,10 +173,13 @@ class RuleSet:
         return None if self.literal is None else frozenset(r.engine for r in self.literal)
 
 
-def rule_set(rules: DataFrame) -> RuleSet:
+def rule_set(rules: DataFrame, case_limit: int | None = MAX_CASE_RULES) -> RuleSet:
+    """``case_limit``: usable rules up to which they become literals of the plan; None for always,
+    which a stream needs."""
     table = compile_rules(rules)
-    few = table.filter("usable").limit(MAX_CASE_RULES + 1).collect()
-    if len(few) > MAX_CASE_RULES:
+    usable = table.filter("usable")
+    few = (usable if case_limit is None else usable.limit(case_limit + 1)).collect()
+    if case_limit is not None and len(few) > case_limit:
         return RuleSet(table, None, table.count())
     return RuleSet(table, tuple(sorted(few, key=lambda r: r.rank)), len(few))
 

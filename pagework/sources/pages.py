@@ -37,21 +37,21 @@ def with_fetch_columns(pages: DataFrame) -> DataFrame:
 
 
 def latest_captures(pages: DataFrame) -> DataFrame:
-    """The page id of the newest capture per URL; without ``captured_at``, the highest page id.
+    """Page id and ``_at``, the time, of the newest capture per URL; without ``captured_at``, the highest page id.
 
     Reads no HTML and aggregates before the shuffle, so a URL captured very often is no hot key.
     """
     if "captured_at" not in pages.columns:
-        return pages.groupBy("url").agg(F.max("page_id").alias("page_id"))
+        return pages.groupBy("url").agg(F.max("page_id").alias("page_id")).withColumn("_at", F.lit(None).cast("string"))
     newest = F.max(F.struct("captured_at", "page_id"))
-    return pages.groupBy("url").agg(newest.alias("_c")).select("url", F.col("_c.page_id").alias("page_id"))
+    return pages.groupBy("url").agg(newest.alias("_c")).select("url", F.col("_c.page_id").alias("page_id"), F.col("_c.captured_at").cast("string").alias("_at"))
 
 
 def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     """Add ``page_id``, ``html``, ``status_code`` and ``redirected_url`` to distinct URLs.
 
     The newest capture is looked up on narrow rows first. The wide HTML rows then move once, keyed
-    by their unique page id. When the URLs are counted and found few, they are broadcast to the scan
+    by their page id, and only the chosen capture of a page id stays. When the URLs are counted and found few, they are broadcast to the scan
     and only the pages asked for move at all.
 
     URLs without a capture have no page id; a salt keeps them from meeting in one task. The number of
@@ -72,6 +72,10 @@ def fetch_pages(urls: DataFrame, pages: DataFrame) -> DataFrame:
     )
     # pmod(x, 1) is always 0, but the optimizer cannot fold it and drop the column from the key.
     bodies = with_fetch_columns(pages).select(
-        "page_id", F.pmod("page_id", F.lit(1)).cast("bigint").alias("_salt"), "html", "status_code", "redirected_url"
+        "page_id", F.pmod("page_id", F.lit(1)).cast("bigint").alias("_salt"), "html", "status_code", "redirected_url",
+        F.col("url").alias("_of"), _column(pages, "captured_at", "string").cast("string").alias("_when"),
     )
-    return wanted.join(bodies, ["page_id", "_salt"], "left").drop("_salt")
+    found = wanted.join(bodies, ["page_id", "_salt"], "left")
+    # A page id may come back for another address or time: only the chosen capture counts.
+    chosen = found.filter(F.col("page_id").isNull() | ((F.col("_of") == F.col("url")) & F.col("_when").eqNullSafe(F.col("_at"))))
+    return chosen.drop("_salt", "_of", "_when", "_at")

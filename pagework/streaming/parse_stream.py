@@ -24,20 +24,26 @@ def read_page_stream(spark: SparkSession, folder: str, glob: str = "*.parquet")
 
 
 def parse_stream(pages: DataFrame, rules: RuleSet | None = None, **options) -> DataFrame:
-    """responses of a stream of pages. The rule set must be small enough for the CASE form."""
+    """responses of a stream of pages, routed by the CASE form: make the rule set with ``case_limit=None``
+    to have any number of rules in it."""
     if rules is not None and rules.literal is None:
-        raise ValueError("a stream routes by the CASE form; use hot_rules_stream for large rule tables")
+        raise ValueError("a stream routes by the CASE form: use rule_set(rules, case_limit=None)")
     return parse_pages(pages, rules, strategy="case", **options)
 
 
-def write_stream(responses: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Append the responses of a stream to a Parquet folder, once each, and stop at the end of the
-    available input."""
+ONCE = {"availableNow": True}
+
+
+def write_stream(
+    responses: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
+) -> StreamingQuery:
+    """Append the responses of a stream to a Parquet folder, once each. Without ``trigger`` (such as
+    ``{"processingTime": "1 minute"}``, which runs on) it stops at the end of the available input."""
     checkpoint = checkpoint or new_path(responses.sparkSession, "stream")
     return (
         responses.writeStream.format("parquet").outputMode("append")
         .option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or ONCE)).start()
     )
 
 
@@ -46,6 +52,7 @@ def hot_rules_stream(
     rules_path: str,
     write: Callable[[DataFrame, int], None],
     checkpoint: str | None = None,
+    trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
     """every micro-batch reads the stored rules again, so edited rules apply without a restart.
@@ -61,5 +68,5 @@ def hot_rules_stream(
     return (
         pages.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint or new_path(pages.sparkSession, "stream"))
-        .trigger(availableNow=True).start()
+        .trigger(**(trigger or ONCE)).start()
     )
