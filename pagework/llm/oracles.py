@@ -1,5 +1,38 @@
-"""DuckDB counterparts of the registered queries, where SQL can express them."""
+"""DuckDB counterparts of the registered queries, where SQL can express them.
+
+The other operators have no entry: trained models (op1, op2), HTML trees (op3), packing, tokenizers
+and plane files (op5, op10), XXH64 and linking by steps (op6), and windows of words or bytes over
+whole texts, which are too slow in SQL on whole tables (op4, op8, op9). Tests compare those with
+brute force, exact round trips or held-out labels.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+# Control strings of the instruction template, longest first.
+_CONTROLS = ("<s><<SYS>>", "<</SYS>>", "[/INST]", "[/ROLE]", "[/TURN]", "[INST]", "[ROLE]", "[ANS]", "</s>")
+
+
+def _escaped() -> str:
+    out = r"replace(text, '\', '\\')"
+    for c in _CONTROLS:
+        out = f"replace({out}, '{c}', '{c[0]}\\{c[1:]}')"
+    return out
+
+
+_CHATS = f"""WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+s AS (SELECT *, coalesce(lag(role) OVER w, 'start') || '>' || role AS step, length({_escaped()}) AS inside,
+  CASE role WHEN 'system' THEN length('<s><<SYS>>' || '<</SYS>>') WHEN 'user' THEN length('[INST] ' || ' [/INST]')
+    WHEN 'assistant' THEN length('[ANS] ' || '</s>') ELSE length('[ROLE]' || role || '[/ROLE]' || '[/TURN]') END AS around
+  FROM t WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*)::BIGINT AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  sum(inside + around)::BIGINT AS formatted_chars,
+  bool_and(step IN ('start>system', 'start>user', 'system>user', 'user>assistant', 'assistant>user'))
+    AND last(role ORDER BY turn, role, text) = 'assistant' AS valid
+FROM s GROUP BY conv_id"""
+
+ORACLES: dict[str, str] = {"op7_chat_format": _CHATS}
