@@ -87,32 +87,44 @@ class Encoder:
             self.marks[marks] = self._ids([marks])[0]
         return self.marks[marks]
 
-    def _look(self, line: list[str]) -> list[bytes | None]:
-        return [self.first.get(line[0]), *map(self.later.get, line[1:])]
-
     def _encode(self, texts: list[str]) -> list[bytes]:
+        first, later = self.first.get, self.later.get
         at_start: set[str] = set()
         behind: set[str] = set()
         found = []
         for t in texts:
-            lines = [line.split(" ") for line in t.split("\n")]
-            got = [self._look(line) for line in lines]
-            open_lines = [i for i, ids in enumerate(got) if None in ids]
-            for i in open_lines:
-                if got[i][0] is None:
-                    at_start.add(lines[i][0])
-                behind.update([w for w, ids in zip(lines[i][1:], got[i][1:]) if ids is None])
-            found.append((got, [(i, lines[i]) for i in open_lines]))
+            rows, holes = [], []
+            for line in t.split("\n"):
+                words = line.split(" ")
+                row = list(map(later, words))
+                row[0] = first(words[0])
+                if None not in row:
+                    rows.append(b"".join(row))
+                    continue
+                missing, j = [], -1
+                for _ in range(row.count(None)):
+                    j = row.index(None, j + 1)
+                    missing.append((j, words[j]))
+                if missing[0][0] == 0:
+                    at_start.add(words[0])
+                behind.update([w for j, w in missing if j])
+                holes.append((len(rows), missing))
+                rows.append(row)
+            found.append((rows, holes))
         self._learn(self.first, at_start, "")
         self._learn(self.later, behind, " ")
         odd = []
-        for k, (got, missing) in enumerate(found):
-            for i, line in missing:
-                got[i] = self._look(line)
-            if any(None in got[i] for i, _ in missing):
-                odd.append(k)
+        for k, (rows, holes) in enumerate(found):
+            for i, missing in holes:
+                row = rows[i]
+                for j, word in missing:
+                    row[j] = later(word) if j else first(word)
+                if None in row:
+                    odd.append(k)
+                    break
+                rows[i] = b"".join(row)
         whole = dict(zip(odd, self._ids([texts[k] for k in odd]))) if odd else {}
-        return [whole[k] if k in whole else self.line_end.join(map(b"".join, got)) for k, (got, _) in enumerate(found)]
+        return [whole[k] if k in whole else self.line_end.join(rows) for k, (rows, _) in enumerate(found)]
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text; null and empty texts have none."""
