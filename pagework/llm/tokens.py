@@ -56,7 +56,9 @@ class Encoder:
 
     def _learn(self, known: dict[str, bytes], words: set[str], space: str) -> None:
         """Words without white space only: a text of known words has none but what it was cut at."""
-        new = {w for w in words if w.split() == [w]}
+        words.discard("")
+        together = list(words)
+        new = words if " ".join(together).split() == together else {w for w in words if w.split() == [w]}
         if len(known) + len(new) > CACHED_PIECES:
             for word in [w for w in known if len(w) > 10]:
                 del known[word]
