@@ -49,15 +49,12 @@ _ATTR = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))
 _SPACE = re.compile(r"\s+")
 
 
-# Paths name at most this many elements, as browsers limit nesting too. Text has no such limit.
-MAX_PATH = 256
-
-
 class Element:
-    __slots__ = ("tag", "attrs", "start", "segment", "own", "seen")
+    __slots__ = ("tag", "attrs", "start", "segment", "outer", "own", "seen")
 
     def __init__(self, tag: str, attrs: dict[str, str], start: int) -> None:
         self.tag, self.attrs, self.start, self.segment = tag, attrs, start, ""
+        self.outer: tuple[str, frozenset[str]] | None = None
         self.own: list[int] = []
         self.seen: list[int] = []
 
@@ -69,15 +66,34 @@ def path_name(value: str) -> str:
     return value
 
 
+def _segment(e: Element) -> str:
+    if not e.segment:
+        ident = "".join("#" + path_name(x) for x in e.attrs.get("id", "").split())
+        classes = "".join("." + path_name(x) for x in e.attrs.get("class", "").split())
+        e.segment = "/" + e.tag + ident + classes
+    return e.segment
+
+
+def _outer(stack: list[Element], depth: int) -> str:
+    """The different segments of the outer ``depth`` elements. Every element keeps its own result, so
+    a page with very many nested elements costs one look at each."""
+    at = depth
+    while at and stack[at - 1].outer is None:
+        at -= 1
+    names = stack[at - 1].outer if at else ("", frozenset())
+    for e in stack[at:depth]:
+        segment = _segment(e)
+        if segment not in names[1]:
+            names = (names[0] + segment, names[1] | {segment})
+        e.outer = names
+    return names[0]
+
+
 def element_path(stack: list[Element], depth: int) -> str:
-    """'/html/body/div#id.class' for the outer ``depth`` open elements."""
-    outer = stack[: min(depth, MAX_PATH)]
-    for e in outer:
-        if not e.segment:
-            ident = "".join("#" + path_name(x) for x in e.attrs.get("id", "").split())
-            classes = "".join("." + path_name(x) for x in e.attrs.get("class", "").split())
-            e.segment = "/" + e.tag + ident + classes
-    return "".join([e.segment for e in outer])
+    """'/html/body/div#id.class' for the outer ``depth`` open elements: the two innermost ones, and
+    before them each different segment further out once, at any depth."""
+    inner = max(depth - 2, 0)
+    return _outer(stack, inner) + "".join([_segment(e) for e in stack[inner:depth]])
 
 
 def walk(html: str) -> Iterator[tuple[str, int, int, list[Element], Element | None]]:

@@ -30,13 +30,11 @@ from pagework.plans.skew import MIN_HOT_ROWS, lookup_join
 
 log = logging.getLogger(__name__)
 
-# Regular expressions have to be literals of the plan, so they pass through the driver. They are
-# hand-written settings; a table with more of them than this is a mistake and is refused.
-MAX_REGEX_RULES = 10_000
+# Regular expressions have to be literals of the plan, so they pass through the driver, however many
+# they are. This many are tried in one probe.
+PROBED_AT_ONCE = 500
 # Above this many usable rules, route() prefers the join form.
 MAX_CASE_RULES = 64
-# Up to this many rules (some ten megabytes at most) the domain rules are broadcast.
-MAX_BROADCAST_RULES = 50_000
 _CHUNK = 32
 
 _OPTION_TYPES = {
@@ -80,20 +78,67 @@ def rules_from_list(spark: SparkSession, rules: Iterable[Mapping[str, Any]]) ->
     return spark.sql(f"SELECT inline(from_json({q(json.dumps(rows))}, {q(kind)}))")
 
 
-def java_pattern(pattern: str) -> str | None:
-    """A Python pattern in Java's dialect, or None when Python itself rejects it."""
+_QUANTIFIER = re.compile(r"\{(\d*)(,?)(\d*)\}")
+_NAMED = re.compile(r"\(\?P<(\w+)>|\(\?P=(\w+)\)")
+
+
+def _is_python(pattern: str) -> bool:
     try:
         re.compile(pattern)
+        return True
     except (re.error, OverflowError, RecursionError):
+        return False
+
+
+def java_pattern(pattern: str) -> str | None:
+    """A Python pattern in Java's dialect, or None when Python itself rejects it.
+
+    Java allows only letters and digits in group names, reads ``[`` and ``&&`` inside a class as set
+    operations, has no ``{,n}`` and no plain ``{``, and spells the end of the text ``\\z``.
+    """
+    if not _is_python(pattern):
         return None
-    pattern = pattern.replace("(?P<", "(?<").replace(r"\Z", r"\z")
-    pattern = re.sub(r"\(\?P=(\w+)\)", r"\\k<\1>", pattern)
+    names: dict[str, str] = {}
+    out, i, in_class = [], 0, False
+    while i < len(pattern):
+        c, step = pattern[i], 1
+        if c == "\\":
+            c, step = pattern[i : i + 2], 2
+            c = r"\z" if c == r"\Z" and not in_class else c
+        elif in_class:
+            in_class = c != "]"
+            c = "\\" + c if c in "[&" else c
+        elif c == "[":
+            in_class = True
+            start = "[^" if pattern.startswith("[^", i) else "["
+            step = len(start)
+            c = start
+            if pattern.startswith("]", i + step):  # a bracket right at the start is a plain one
+                c, step = start + r"\]", step + 1
+        elif m := _NAMED.match(pattern, i):
+            name = names.setdefault(m[1] or m[2], f"g{len(names) + 1}")
+            c, step = (f"(?<{name}>" if m[1] else rf"\k<{name}>"), len(m[0])
+        elif c == "{":
+            m = _QUANTIFIER.match(pattern, i)
+            if m and (m[1] or (m[2] and m[3])):
+                c, step = f"{{{m[1] or 0}{m[2]}{m[3]}}}", len(m[0])
+            elif m and m[2]:
+                c, step = "{0,}", len(m[0])
+            else:
+                c = r"\{"
+        elif c == "}":
+            c = r"\}"
+        out.append(c)
+        i += step
     # Unicode-aware \w, \d and \s, as in Python.
-    return "(?U)" + pattern
+    return "(?U)" + "".join(out)
 
 
 def _rejected(spark: SparkSession, patterns: list[str]) -> set[str]:
-    """Patterns Java cannot compile, found by bisection: one probe when all are fine."""
+    """Patterns Java cannot compile, found by bisection: one probe per part when all are fine."""
+    if len(patterns) > PROBED_AT_ONCE:
+        parts = range(0, len(patterns), PROBED_AT_ONCE)
+        return set().union(*[_rejected(spark, patterns[i : i + PROBED_AT_ONCE]) for i in parts])
     if not patterns:
         return set()
     try:
@@ -129,14 +174,16 @@ def compile_rules(rules: DataFrame) -> DataFrame:
         F.coalesce("priority", F.lit(0)).alias("priority"),
     )
     patterns = r.filter(F.col("match_type") == "regex").select("match_pattern").distinct()
-    regexes = [x.match_pattern for x in patterns.limit(MAX_REGEX_RULES + 1).collect()]
-    if len(regexes) > MAX_REGEX_RULES:
-        raise ValueError(f"more than {MAX_REGEX_RULES} different regular expressions")
+    regexes = [x.match_pattern for x in patterns.collect()]
     java = {p: java_pattern(p) for p in regexes}
     refused = _rejected(spark, sorted({j for j in java.values() if j is not None}))
     good = sorted(p for p, j in java.items() if j is not None and j not in refused)
-    if bad := sorted(set(regexes) - set(good)):
-        log.error("%d site rule patterns are no valid regular expressions and never match: %s", len(bad), bad[:5])
+    for text, bad in (
+        ("are no valid regular expressions", sorted(p for p, j in java.items() if j is None)),
+        ("use what Java's expressions do not support", sorted(p for p, j in java.items() if j in refused)),
+    ):
+        if bad:
+            log.error("%d site rule patterns %s and never match: %s", len(bad), text, bad[:5])
     is_domain = (F.col("match_type") == "domain") & (F.col("match_pattern") != "")
     is_regex = (F.col("match_type") == "regex") & F.col("match_pattern").isin(good)
     return r.select(
@@ -261,11 +308,11 @@ def domain_suffixes(domain: str) -> str:
     return let(f"split({domain}, '[.]', -1)", tails)
 
 
-def best_domain_rule(domains: DataFrame, rules: RuleSet, min_hot_rows: int = MIN_HOT_ROWS) -> DataFrame:
+def best_domain_rule(domains: DataFrame, rules: RuleSet) -> DataFrame:
     """R2 as an equi-join: the best domain rule, as a struct, per distinct ``domain``.
 
-    Each side is brought to one row per key before the join. A rule table of checked size is
-    broadcast; a larger one is joined with popular suffixes ('com') spread over several tasks.
+    Each side is brought to one row per key before the join. Spark broadcasts a rule table whose
+    measured bytes are few and else splits the partitions of popular suffixes ('com').
     """
     entry = F.struct("rank", "name", "engine", "css_selector", "options").alias("entry")
     wanted = (
@@ -278,19 +325,14 @@ def best_domain_rule(domains: DataFrame, rules: RuleSet, min_hot_rows: int = MIN
         domains.select("domain").filter(F.col("domain") != "").distinct()
         .select("domain", F.explode(F.expr(f"array_distinct({domain_suffixes('domain')})")).alias("suffix"))
     )
-    if rules.size <= MAX_BROADCAST_RULES:
-        hits = parts.join(F.broadcast(wanted), "suffix")
-    else:
-        hits = lookup_join(parts, wanted, "suffix", F.col("domain"), min_hot_rows)
-        hits = hits.filter(F.col("entry").isNotNull())
+    hits = parts.join(wanted, "suffix")
     return hits.groupBy("domain").agg(F.min_by("entry", F.col("entry.rank")).alias("_entry"))
 
 
 def _route_join(df: DataFrame, rules: RuleSet, url: str, min_hot_rows: int) -> DataFrame:
     df = df.withColumn("domain", F.expr(url_domain(url)))
-    best = best_domain_rule(df, rules, min_hot_rows)
+    best = best_domain_rule(df, rules)
     hit = lookup_join(df, best, "domain", F.col(url), min_hot_rows)
-    # At most MAX_REGEX_RULES different patterns, see compile_rules.
     patterns = (
         rules.table.filter((F.col("match_type") == "regex") & F.col("usable"))
         .groupBy("match_type", "match_pattern")

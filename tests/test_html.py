@@ -146,7 +146,11 @@ def test_unsupported_selectors(css):
 
 def test_deep_and_broken_pages():
     deep = page_blocks("<div>x" * 20_000)
-    assert len(deep) == 20_000 and max(len(b[1]) for b in deep) <= 4 * 256
+    assert len(deep) == 20_000 and {b[1] for b in deep[3:]} == {"/div/div/div"}
+    nested = page_blocks("<div class=modal>" + "<div>" * 300 + "<div class=ad><p>x")
+    assert [b[1] for b in nested] == ["/div.modal/div/div.ad/p"]
+    within = page_blocks("<div>" * 300 + "<div class=modal>" + "<div>" * 300 + "<p>x")
+    assert [b[1] for b in within] == ["/div/div.modal/div/p"]
     page_blocks("<b>" * 20_000 + "<p>x" * 20_000), page_blocks("</i>" * 100_000)
     assert len(select_html("<div>" * 2000, parse_selector("div div > div div"))) > 0
     for broken in ("<", "<p", "<p title=\"x>y</p>", "</p></div>", "<!--", "<script>", "<a href='", "\x00"):

@@ -79,9 +79,22 @@ def test_many_rules_use_the_join_form(spark):
     assert routed(spark, entries, urls, min_hot_rows=0) == expected
 
 
-def test_large_tables_are_not_broadcast(spark, monkeypatch):
-    monkeypatch.setattr(ru, "MAX_BROADCAST_RULES", 1)
-    assert routed(spark, RULES, strategy="join", min_hot_rows=0) == {x: brute_force(RULES, x) for x in URLS}
+def test_tables_may_go_without_broadcast(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert routed(spark, RULES, strategy="join", min_hot_rows=0) == {x: brute_force(RULES, x) for x in URLS}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("pattern,text", [
+    (r"/(?P<lang_code>de)/(?P=lang_code)", "/de/de"), ("/[[a]de", "/[de"), (r"[a&&b]x", "&x"), (r"[]a]$", "]"),
+    (r"\\\\Z", "\\Z"), (r"a\Z", "a"), (r"/x{,2}y", "/xxy"), (r"/{id}", "/{id}"), (r"[^]]b", "ab"),
+])
+def test_patterns_in_the_other_dialect(spark, pattern, text):
+    row = spark.createDataFrame([(text,), ("zzz",)], "x STRING").select("x", F.expr(ru.match_regex("x", pattern)).alias("hit"))
+    assert {r.x: r.hit for r in row.collect()} == {x: bool(re.search(pattern, x)) for x in (text, "zzz")}
 
 
 def test_order_of_stored_rows_does_not_matter(spark, tmp_path):
@@ -94,7 +107,21 @@ def test_order_of_stored_rows_does_not_matter(spark, tmp_path):
 def test_bad_entries_are_skipped(spark, tmp_path):
     assert [r.name for r in ru.rules_from_list(spark, [None, {"name": "ok"}, {"name": "bad", "priority": "x"}]).collect()] == ["ok"]
     (tmp_path / "r.json").write_text('{"rule_idx": 0, "name": "a"}\n{oops\n{"name": "no index"}\n{"rule_idx": "x"}\n')
-    assert [r.name for r in load_rules(spark, str(tmp_path / "r.json")).collect()] == ["a"]
+    assert [r.name for r in load_rules(spark, str(tmp_path / "r.json")).collect()] == ["a", "no index"]
+
+
+def test_rules_as_users_write_them(spark, tmp_path):
+    lines = [
+        '{"name": "one", "match_pattern": "a.com", "extra_options": {"prune_xpath": "//nav"}}', "{oops",
+        '{"name": "two", "match_pattern": "a.com", "extra_options": {"prune_xpath": ["//nav", "//aside"], "output_format": "text"}}',
+        '{"name": "three", "priority": 3, "css_selector": "main"}',
+    ]
+    (tmp_path / "r.json").write_text("\n".join(lines))
+    rows = {r.name: r for r in load_rules(spark, str(tmp_path / "r.json")).collect()}
+    assert {n: r.rule_idx for n, r in rows.items()} == {"one": 0, "two": 2, "three": 3}
+    assert rows["one"].extra_options.prune_xpath == ["//nav"] and rows["two"].extra_options.prune_xpath == ["//nav", "//aside"]
+    assert rows["two"].extra_options.output_format == "text" and rows["three"].css_selector == "main"
+    assert rows["three"].extra_options is None
 
 
 def test_no_rules(spark):
