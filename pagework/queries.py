@@ -194,12 +194,29 @@ def s1_fetch_pages(spark, sf_dir):
 
 @query
 def s2_load_rules(spark, sf_dir):
+    """Lines with a path alone, with options and a list of paths, without options, and broken ones."""
     stored = host_rules(spark, sf_dir)
-    lines = stored.select(F.to_json(F.struct("*")).alias("value"))
+    kind = F.col("rule_idx") % 4
+    one = F.struct(F.lit("//nav").alias("prune_xpath"))
+    many = F.struct(
+        F.lit(0.25).alias("content_filter_threshold"), F.lit("text").alias("output_format"), F.lit(True).alias("include_links"),
+        F.array(F.lit("//nav"), F.lit("//aside")).alias("prune_xpath"),
+    )
+    forms = [
+        stored.filter(kind == 0).withColumn("extra_options", one),
+        stored.filter(kind == 1).withColumns({"extra_options": many, "css_selector": F.lit("main")}),
+        stored.filter(kind > 1),
+    ]
     bad = stored.select(F.concat(F.lit('{"rule_idx": "x", "name": '), "name").alias("value"))
+    for rows in forms:
+        bad = bad.unionByName(rows.select(F.to_json(F.struct("*")).alias("value")))
     path = new_path(spark, "rules")
-    lines.unionByName(bad).write.text(path)
-    return load_rules(spark, path).select("rule_idx", "name", "match_type", "match_pattern", "engine", "priority")
+    bad.write.text(path)
+    return load_rules(spark, path).select(
+        "rule_idx", "name", "match_type", "match_pattern", "engine", "css_selector", "priority",
+        "extra_options.content_filter_threshold", "extra_options.output_format", "extra_options.include_links",
+        F.array_join("extra_options.prune_xpath", "|").alias("prune_xpath"),
+    )
 
 
 @query
@@ -316,13 +333,13 @@ def r5_route(spark, sf_dir):
 @query
 def r6_resolve_options(spark, sf_dir):
     entries = [
-        {**RULES[0], "extra_options": {"content_filter_threshold": 0.25, "include_links": True}},
+        {**RULES[0], "extra_options": {"content_filter_threshold": 0.25, "include_links": True, "prune_xpath": ["//nav", "//aside"]}},
         {**RULES[1], "extra_options": {"output_format": "txt", "unknown": 1}},
         RULES[2],
     ]
     routed = rules.route(pages_of(spark, sf_dir).select("page_id", "url"), rule_set_of(spark, entries))
     got = rules.resolve_options(routed, Config())
-    return got.select("page_id", "css", "content_filter_threshold", "output_format", "include_links", "deduplicate")
+    return got.select("page_id", "css", *[k for k in schemas.OPTION_KEYS if k != "prune_xpath"], F.array_join("prune_xpath", "|").alias("prune_xpath"))
 
 
 @query
