@@ -2,8 +2,8 @@
 
 Each page's containers are scored by the text and links they hold, and the page votes for the path
 of its best one: tags with their first class, digits generalised. Votes are added up per host in
-Spark. Pages are then read again with the winning paths of their host; a page that has none of them
-goes by its own best container. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
+Spark. Pages are then read again with the winning paths of their host; a page on which none of them
+holds nearly as much as its own best container goes by that one. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts and styles never count, in either pass.
 """
 
@@ -23,6 +23,7 @@ from pagework.llm.common import others, quoted
 from pagework.plans.materialize import materialize
 
 LEAST_SHARE = 0.3  # of the host's votes, for a path beside the first
+NEAR = 0.8  # of the worth of a page's own best container, for a path of its host to be used on it
 RESULTS = ("text", "n_chars")
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
@@ -150,10 +151,13 @@ def read_page(source: str | None) -> Page:
     return page
 
 
+def _own(c: Container) -> int:
+    return c.chars - 2 * c.linked + 25 * c.blocks
+
+
 def best_container(page: Page) -> tuple[int, float]:
     """The container with the best score: own text, less links, and what its parts pass up, halved at each level."""
-    own = [(c.chars - 2 * c.linked + 25 * c.blocks) for c in page.containers]
-    total = [float(max(0, x)) for x in own]
+    total = [float(max(0, _own(c))) for c in page.containers]
     for i in range(len(page.containers) - 1, 0, -1):
         total[page.containers[i].parent] += total[i] / 2
     scores = [t * c.weight for t, c in zip(total, page.containers)]
@@ -161,17 +165,27 @@ def best_container(page: Page) -> tuple[int, float]:
     return at, scores[at]
 
 
+def _region(page: Page, path: str) -> tuple[list[str], int]:
+    """Blocks within the containers of a path, and their worth: text, less links, plus something for each block."""
+    inside = [c.path == path for c in page.containers]
+    for i in range(1, len(inside)):
+        inside[i] = inside[i] or inside[page.containers[i].parent]
+    worth = sum(max(0, _own(c)) for c, within in zip(page.containers, inside) if within)
+    return [t for t, c in page.blocks if inside[c]], worth
+
+
 def main_text(page: Page, paths: list[str]) -> str:
-    """Blocks within the containers of the first of ``paths`` that the page has text in, else of its own best one."""
-    for path in paths:
-        inside = [c.path == path for c in page.containers]
-        for i in range(1, len(inside)):
-            inside[i] = inside[i] or inside[page.containers[i].parent]
-        texts = [t for t, c in page.blocks if inside[c]]
-        if texts:
-            return "\n".join(texts)
+    """Blocks within the containers of the first of ``paths`` whose worth on this page comes near that of
+    the page's own best container, else of that container's path."""
+    if not page.blocks:
+        return ""
     at, _ = best_container(page)
-    return main_text(page, [page.containers[at].path]) if page.blocks and page.containers[at].path not in paths else "\n".join(t for t, _ in page.blocks)
+    texts, best = _region(page, page.containers[at].path)
+    for path in paths:
+        found, worth = _region(page, path)
+        if found and worth >= NEAR * best:
+            return "\n".join(found)
+    return "\n".join(texts or [t for t, _ in page.blocks])
 
 
 def host_of(url: Column) -> Column:
