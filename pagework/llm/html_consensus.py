@@ -1,7 +1,7 @@
 """Main text of HTML pages by consensus host paths.
 
-Each page's containers are scored by the text and links they hold, and the page votes for the path
-of its best one: tags with their first class, digits generalised. Votes are added up per host in
+Each page's containers are scored by the text and links they hold, the best one is widened to the
+article around it, and the page votes for its path: tags with their first class, digits generalised. Votes are added up per host in
 Spark. Pages are then read again with the winning paths of their host; a page on which none of them
 holds nearly as much as its own best container goes by that one. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
 scripts and styles never count, in either pass.
@@ -50,6 +50,7 @@ _WORD = re.compile(r"[a-z]+")
 @dataclass
 class Container:
     path: str
+    tag: str
     parent: int
     weight: float
     chars: int = 0
@@ -68,7 +69,7 @@ class Page:
 def read_page(source: str | None) -> Page:
     page = Page()
     source = source or ""
-    page.containers.append(Container("", -1, 0.1))
+    page.containers.append(Container("", "", -1, 0.1))
     stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, container, furniture, in an article
     parts: list[str] = []
     linked, links = 0, 0
@@ -143,7 +144,7 @@ def read_page(source: str | None) -> Page:
             if tag in _CONTAINER and not furniture:
                 name = " ".join(_WORD.findall(attributes.get("class", "").split(" ")[0]))
                 path = f"{page.containers[container].path}/{tag}{'.' + name.replace(' ', '-') if name else ''}"
-                page.containers.append(Container(path, container, _WEIGHT.get(tag, 1.0)))
+                page.containers.append(Container(path, tag, container, _WEIGHT.get(tag, 1.0)))
                 container = len(page.containers) - 1
             if not m[4]:
                 stack.append((tag, container, furniture, article or tag in ("article", "main")))
@@ -156,13 +157,41 @@ def _own(c: Container) -> int:
 
 
 def best_container(page: Page) -> tuple[int, float]:
-    """The container with the best score: own text, less links, and what its parts pass up, halved at each level."""
+    """The container with the best score, widened to the whole article that it is part of.
+
+    A score is the container's own text, less links, and what its parts pass up, halved at each level.
+    """
     total = [float(max(0, _own(c))) for c in page.containers]
     for i in range(len(page.containers) - 1, 0, -1):
         total[page.containers[i].parent] += total[i] / 2
     scores = [t * c.weight for t, c in zip(total, page.containers)]
     at = max(range(len(scores)), key=lambda i: (scores[i], -i))
-    return at, scores[at]
+    return _widened(page, at), scores[at]
+
+
+def _widened(page: Page, at: int) -> int:
+    """The outermost article around a container, else the nearest main, else the outermost ancestor such that
+    all that is added on the way is mostly not links; the body only if that is text of its own without links."""
+    around = [at]
+    while page.containers[around[-1]].parent > 0:
+        around.append(page.containers[around[-1]].parent)
+    for tag, which in (("article", -1), ("main", 0)):
+        found = [i for i in around if page.containers[i].tag == tag]
+        if found:
+            return found[which]
+    chars, linked = [c.chars for c in page.containers], [c.linked for c in page.containers]
+    for i in range(len(chars) - 1, 0, -1):
+        parent = page.containers[i].parent
+        chars[parent] += chars[i]
+        linked[parent] += linked[i]
+    best = at
+    for inner, outer in zip(around, around[1:]):
+        more, links = chars[outer] - chars[inner], linked[outer] - linked[inner]
+        if 2 * links >= more > 0 or page.containers[outer].tag == "body" and (links or page.containers[outer].chars < more):
+            break
+        if more:
+            best = outer
+    return best
 
 
 def _region(page: Page, path: str) -> tuple[list[str], int]:

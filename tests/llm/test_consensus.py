@@ -21,3 +21,15 @@ def test_host_of_two_layouts(spark):
     rows += [(k, "http://g/b", f"<body><div class=x>teaser</div><div class=y>{paragraphs(BODY)}</div></body>") for k in (23, 24)]
     got = {r.page_id: r.text for r in extract_pages(spark.createDataFrame(rows, "page_id LONG, url STRING, html STRING")).collect()}
     assert got == {k: lines(f"title {k}", *BODY) if k < 20 else lines(*BODY) for k, _, _ in rows}
+
+
+def test_whole_article_around_the_best_container():
+    from pagework.llm.html_consensus import main_text, read_page
+
+    for n in (1, 6, 60):
+        inner = f"<h1>title</h1><div class=wrap><div class=lead>the lead</div><div class=body>{paragraphs(BODY * n)}</div><div class=note>a note</div></div>"
+        for page in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div class=story>{inner}</div>", inner):
+            source = f"<body><nav>menu</nav>{page}</body>"
+            assert main_text(read_page(source), []) == lines("title", "the lead", *BODY * n, "a note")
+    linked = f"<body><div class=top><a href=/>all</a> <a href=/b>others</a></div><div class=story><h1>title</h1><div>{paragraphs(BODY * 9)}</div></div></body>"
+    assert main_text(read_page(linked), []) == lines("title", *BODY * 9)
