@@ -4,7 +4,8 @@ Each page's containers are scored by the text and links they hold, the best one
 article around it, and the page votes for its path: tags with their first class, digits generalised. Votes are added up per host in
 Spark. Pages are then read again with the winning paths of their host; a page on which none of them
 holds nearly as much as its own best container goes by that one. Menus, headers, footers, sidebars, notices, adverts, forms, comments,
-scripts and styles never count, in either pass.
+scripts and styles never count, in either pass. They are known by their tags and by the words of their
+class, role and id; within an article by whole names only, or by a part of one and the share of links.
 """
 
 from __future__ import annotations
@@ -44,9 +45,43 @@ _MARKS = frozenset(
     "promo promoted promotion recommended related respond search share sharing sidebar signup social sponsor sponsored subscribe toolbar widget".split()
 )
 _MARKS_OUTSIDE = frozenset(("header", "complementary", "alert"))  # inside an article these may be its own
+#: Words that beside a mark leave a name one of furniture, as in "comment-list" or "share-buttons".
+_NEUTRAL = frozenset(
+    "area author bar block body bottom box btn button buttons col column container content css footer form group head header heading holder "
+    "icon icons id inline inner item items js label left link links list main menu message meta outer panel posts region reply right row "
+    "section slot text thread title top unit widget wrap wrapper".split()
+)
+_TEXTUAL = frozenset("h1 h2 h3 h4 h5 h6 p li dt dd caption figcaption legend pre blockquote summary".split())  # ids are of their text
+_CELLS = frozenset("td th tr".split())
 _WORD = re.compile(r"[a-z]+")
 
 
+def _names(tag: str, attributes: dict[str, str], article: bool) -> list[str]:
+    """Class, role and id names that may mark furniture. Ids of headings, paragraphs and items, and within an
+    article those of cells and sections, are made from the text and do not count."""
+    told = [attributes.get("class", ""), attributes.get("role", "")]
+    if tag not in _TEXTUAL and not (article and (tag in _CELLS or tag == "section")):
+        told.append(attributes.get("id", ""))
+    return " ".join(told).split()
+
+
+def _marked(names: list[str], article: bool) -> tuple[bool, bool]:
+    """Whether names tell furniture, and whether they only suggest it, so that the share of links has to decide.
+
+    Outside an article any word marks; within one the whole name must be of marks and neutral words,
+    and a mark as its first or last word suggests.
+    """
+    suggested = False
+    for words in map(_WORD.findall, names):
+        marks = _MARKS.intersection(words)
+        if not article and (marks or _MARKS_OUTSIDE.intersection(words)):
+            return True, False
+        if marks and all(w in marks or w in _NEUTRAL for w in words):
+            return True, False
+        suggested = suggested or bool(marks) and (words[0] in marks or words[-1] in marks)
+    return False, suggested
+
+
 @dataclass
 class Container:
     path: str
@@ -60,17 +95,18 @@ class Container:
 
 @dataclass
 class Page:
-    """Containers in page order, and the blocks: text and the number of the innermost container."""
+    """Containers in page order, and the blocks: text, the number of the innermost container, linked characters."""
 
     containers: list[Container] = field(default_factory=list)
-    blocks: list[tuple[str, int]] = field(default_factory=list)
+    blocks: list[tuple[str, int, int]] = field(default_factory=list)
 
 
 def read_page(source: str | None) -> Page:
     page = Page()
     source = source or ""
     page.containers.append(Container("", "", -1, 0.1))
-    stack: list[tuple[str, int, bool, bool]] = [("", 0, False, False)]  # tag, container, furniture, in an article
+    # Tag, container, furniture, in an article, and for suspected furniture the number of blocks before it, else -1.
+    stack: list[tuple[str, int, bool, bool, int]] = [("", 0, False, False, -1)]
     parts: list[str] = []
     linked, links = 0, 0
 
@@ -80,11 +116,23 @@ def read_page(source: str | None) -> Page:
             text = " ".join("".join(parts).split())
             if text and not stack[-1][2]:
                 at = stack[-1][1]
-                page.blocks.append((text, at))
+                page.blocks.append((text, at, min(linked, len(text))))
                 c = page.containers[at]
                 c.chars, c.linked, c.blocks = c.chars + len(text), c.linked + min(linked, len(text)), c.blocks + 1
             parts, linked = [], 0
 
+    def leave(first: int) -> None:
+        """Closes the elements from ``first`` on; suspected furniture goes if half of its text is links."""
+        while len(stack) > first:
+            since = stack.pop()[4]
+            if since >= 0:
+                within = page.blocks[since:]
+                if 2 * sum(n for _, _, n in within) >= sum(len(t) for t, _, _ in within):
+                    for text, at, n in within:
+                        c = page.containers[at]
+                        c.chars, c.linked, c.blocks = c.chars - len(text), c.linked - n, c.blocks - 1
+                    del page.blocks[since:]
+
     def say(text: str) -> None:
         nonlocal linked
         if text and not stack[-1][2]:
@@ -113,7 +161,7 @@ def read_page(source: str | None) -> Page:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == tag:
                         flush()
-                        del stack[i:]
+                        leave(i)
                         links = 0
                         break
                 else:
@@ -133,22 +181,26 @@ def read_page(source: str | None) -> Page:
             if tag in ("p", "li", "dt", "dd", "tr", "td", "th") or tag in _BLOCK and stack[-1][0] == "p":
                 # An open paragraph ends at any block; items, cells and rows end at the next one of their kind.
                 if stack[-1][0] == "p" or stack[-1][0] == tag:
-                    stack.pop()
-            _, container, furniture, article = stack[-1]
+                    leave(len(stack) - 1)
+            _, container, furniture, article, _ = stack[-1]
             attributes = {k.lower(): html.unescape(a or b or c).lower() for k, a, b, c in _ATTRIBUTE.findall(m[3])} if m[3] else {}
+            suspected = False
             if not furniture:
                 furniture = tag in _FURNITURE or tag == "header" and not article
                 if not furniture and attributes and tag not in ("html", "body", "article", "main"):
-                    words = set(_WORD.findall(" ".join(attributes.values())))
-                    furniture = bool(words & _MARKS or not article and words & _MARKS_OUTSIDE)
+                    furniture, suspected = _marked(_names(tag, attributes, article), article)
+                    if article and not furniture and tag == "section":
+                        suspected = suspected or any(_marked([name], article) != (False, False) for name in attributes.get("id", "").split())
             if tag in _CONTAINER and not furniture:
                 name = " ".join(_WORD.findall(attributes.get("class", "").split(" ")[0]))
                 path = f"{page.containers[container].path}/{tag}{'.' + name.replace(' ', '-') if name else ''}"
                 page.containers.append(Container(path, tag, container, _WEIGHT.get(tag, 1.0)))
                 container = len(page.containers) - 1
             if not m[4]:
-                stack.append((tag, container, furniture, article or tag in ("article", "main")))
+                inside = article or tag in ("article", "main") or attributes.get("role", "").strip() in ("article", "main")
+                stack.append((tag, container, furniture, inside, len(page.blocks) if suspected else -1))
     flush()
+    leave(1)
     return page
 
 
@@ -200,7 +252,7 @@ def _region(page: Page, path: str) -> tuple[list[str], int]:
     for i in range(1, len(inside)):
         inside[i] = inside[i] or inside[page.containers[i].parent]
     worth = sum(max(0, _own(c)) for c, within in zip(page.containers, inside) if within)
-    return [t for t, c in page.blocks if inside[c]], worth
+    return [t for t, c, _ in page.blocks if inside[c]], worth
 
 
 def main_text(page: Page, paths: list[str]) -> str:
@@ -214,7 +266,7 @@ def main_text(page: Page, paths: list[str]) -> str:
         found, worth = _region(page, path)
         if found and worth >= NEAR * best:
             return "\n".join(found)
-    return "\n".join(texts or [t for t, _ in page.blocks])
+    return "\n".join(texts or [t for t, _, _ in page.blocks])
 
 
 def host_of(url: Column) -> Column:

@@ -33,3 +33,21 @@ def test_whole_article_around_the_best_container():
             assert main_text(read_page(source), []) == lines("title", "the lead", *BODY * n, "a note")
     linked = f"<body><div class=top><a href=/>all</a> <a href=/b>others</a></div><div class=story><h1>title</h1><div>{paragraphs(BODY * 9)}</div></div></body>"
     assert main_text(read_page(linked), []) == lines("title", *BODY * 9)
+
+
+def test_names_within_an_article():
+    from pagework.llm.html_consensus import main_text, read_page
+
+    kept = ["<h2 id='search-and-sharing'>{}</h2>", "<h2 id=related-work>{}</h2>", "<h3 id=comments>{}</h3>", "<section id='login'><p>{}</section>",
+            "<p id='comment-on-results'>{}</p>", "<div class='share-price'>{}</div>", "<ul><li id=sharing>{}</ul>", "<table><tr><td id=menu-prices>{}</table>",
+            "<div class='search-results-explained'>{}</div>", "<div id=cookie-recipes><p>{}<p>with <a href=/>one link</a></div>"]
+    gone = ["<div class='share-buttons'>{}</div>", "<div class='x comment-list'>{}</div>", "<div id=comments>{}</div>", "<div role=navigation>{}</div>",
+            "<p class=advert>{}</p>", "<section class=newsletter>{}</section>", "<div class='related-stories'><a href=/>{}</a></div>",
+            "<section id=related><ul><li><a href=/>{}</a><li><a href=/b>{}</a></ul></section>"]
+    for tag in ("<article>", "<main>", "<div role=main>"):
+        source = f"<body>{tag}{paragraphs(BODY)}" + "".join(x.replace("{}", f"kept text {k}") for k, x in enumerate(kept))
+        source += "".join(x.replace("{}", "gone text") for x in gone) + "<p>the end"
+        want = [y for k, _ in enumerate(kept) for y in ([f"kept text {k}"] + ["with one link"] * (k == len(kept) - 1))]
+        assert main_text(read_page(source), []) == lines(*BODY, *want, "the end")
+    outside = "<body><article><p>text</article><div class=ad-text>a</div><h2 id=related-work>heading</h2></body>"
+    assert [t for t, *_ in read_page(outside).blocks] == ["text", "heading"]
