@@ -50,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces, packed into sequences."""
-    return pack(docs, default_tokenizer())
+    return pack(docs, default_tokenizer(), special_as_text=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

@@ -62,7 +62,7 @@ class BestFit:
 
 def token_pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = 1024,
-    end_id: int = END_ID, keep_ids: bool = False,
+    end_id: int = END_ID, keep_ids: bool = False, special_as_text: bool = True,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` of every piece, with ``ids`` (little-endian bytes) on request."""
     kind = docs.schema[id_col].dataType
@@ -72,7 +72,7 @@ def token_pieces(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder.of(tokenizer)
+        encoder = Encoder.of(tokenizer, special_as_text)
         for batch in batches:
             row, numbers, starts, lengths, crcs, parts = [], [], [], [], [], []
             for i, ids in enumerate(encoder.encode(batch.column(1).to_pylist())):
@@ -102,15 +102,17 @@ def token_pieces(
 def pack(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", size: int = 1024,
     open_sequences: int = OPEN, pieces_per_task: int = PIECES_PER_TASK, keep_ids: bool = False,
+    special_as_text: bool = True,
 ) -> DataFrame:
     """Every piece with ``sequence_id`` and ``offset``; sequences are gapless from 0.
 
     Null and empty texts are their end id alone. Repeated rows and null ids are packed as rows of
     their own. An empty table gives no rows; columns beside the two are ignored. Pieces that tie for
     a place are told apart by id, start and content, and equal ones are exchangeable. The pieces are
-    written once, so a packer that runs again gets the same pieces in the same order.
+    written once, so a packer that runs again gets the same pieces in the same order. Strings of the
+    tokenizer's special tokens are ordinary text, or one id with ``special_as_text`` off.
     """
-    cut = materialize(token_pieces(docs, tokenizer, id_col, text_col, size, keep_ids=keep_ids), "pieces")
+    cut = materialize(token_pieces(docs, tokenizer, id_col, text_col, size, keep_ids=keep_ids, special_as_text=special_as_text), "pieces")
     tasks = pieces(cut.count(), pieces_per_task)
     mixed = F.xxhash64("doc_id", "start", "ids_crc32")
     arriving = (

@@ -45,7 +45,7 @@ def op4_winnowing_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), default_tokenizer())
+    return pack(table(spark, sf_dir, "documents"), default_tokenizer(), special_as_text=False)
 
 
 def op6_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,7 +79,7 @@ def op9_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = write_planes(table(spark, sf_dir, "documents"), default_tokenizer())
+    path = write_planes(table(spark, sf_dir, "documents"), default_tokenizer(), special_as_text=False)
     return read_planes(spark, path, with_ids=False)
 
 

@@ -73,11 +73,13 @@ def _store(path: str):
 def write_planes(
     docs: DataFrame, tokenizer: str, path: str | None = None, id_col: str = "doc_id", text_col: str = "text",
     end_id: int = END_ID, block_ids: int = BLOCK_IDS, bits: bool = False, level: int = 1,
+    special_as_text: bool = True,
 ) -> str:
     """Write all ids in ascending order of ``id_col``, each document followed by ``end_id``; gives the path.
 
     Null ids come first, rows of the same id in the order of their texts. Null and empty texts are
     their end id alone. An empty table gives an index without rows. Other columns are ignored.
+    Strings of the tokenizer's special tokens are ordinary text, or one id with ``special_as_text`` off.
     """
     spark = docs.sparkSession
     path = path or new_path(spark, "planes")
@@ -94,7 +96,7 @@ def write_planes(
     store.create_dir(top + "/files", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = Encoder.of(tokenizer), zstandard.ZstdCompressor(level=level)
+        encoder, packer = Encoder.of(tokenizer, special_as_text), zstandard.ZstdCompressor(level=level)
         shard, name = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.planes"
         files, folder = _store(path)
         out, at, rows, pending, held = None, 0, [], [], 0

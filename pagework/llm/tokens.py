@@ -3,8 +3,8 @@
 A byte-level tokenizer with the usual splitting pattern never merges across a single space or line
 end between two characters that are not white space: the space begins the next piece, the line end
 is a piece of its own. So such a text is cut there, each different piece is encoded once by the
-tokenizers library, and a text's ids are the joined ids of its pieces. Texts with other white space
-are encoded as they are.
+tokenizers library, and a text's ids are the joined ids of its pieces. Texts with other white space,
+and texts that hold the string of an added token, are encoded as they are.
 """
 
 from __future__ import annotations
@@ -28,16 +28,20 @@ assert array("I").itemsize == 4 and sys.byteorder == "little"
 
 
 class Encoder:
-    """Little-endian unsigned 32-bit ids of texts, as bytes. Strings of special tokens are ordinary text."""
+    """Little-endian unsigned 32-bit ids of texts, as bytes. Strings of special tokens are ordinary text,
+    or with ``special_as_text`` off what the library makes of them by itself: the token's one id."""
 
-    _ready: dict[str, "Encoder"] = {}
+    _ready: dict[tuple[str, bool], "Encoder"] = {}
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, special_as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has a worker for every core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        found = self.tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content for t in found if not (special_as_text and t.special)]
+        self.cut = all(t.split() == [t] for t in self.added)  # else one may lie across the cuts
         self.first: dict[str, bytes] = {}  # pieces at the start of a line
         self.later: dict[str, bytes] = {}  # words behind a space
         self.marks: dict[str, bytes] = {}
@@ -45,11 +49,12 @@ class Encoder:
         self.line_end_id = int.from_bytes(self.line_end, "little")
 
     @classmethod
-    def of(cls, path: str) -> "Encoder":
-        """One encoder for each worker process and file."""
-        if path not in cls._ready:
-            cls._ready[path] = cls(path)
-        return cls._ready[path]
+    def of(cls, path: str, special_as_text: bool = True) -> "Encoder":
+        """One encoder for each worker process, file and reading of special tokens."""
+        key = path, special_as_text
+        if key not in cls._ready:
+            cls._ready[key] = cls(path, special_as_text)
+        return cls._ready[key]
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -90,6 +95,15 @@ class Encoder:
         return self.marks[marks]
 
     def _encode(self, texts: list[str]) -> list[bytes]:
+        if not self.cut:
+            return self._ids(texts)
+        holding = {k for k, t in enumerate(texts) for a in self.added if a in t}
+        if holding:
+            whole, rest = iter(self._ids([texts[k] for k in sorted(holding)])), iter(self._by_words([t for k, t in enumerate(texts) if k not in holding]))
+            return [next(whole if k in holding else rest) for k in range(len(texts))]
+        return self._by_words(texts)
+
+    def _by_words(self, texts: list[str]) -> list[bytes]:
         first, later = self.first.get, self.later.get
         at_start: set[str] = set()
         behind: set[str] = set()
