@@ -11,6 +11,8 @@ from corpus_pipeline import run
 from pagework.llm.chat_format import format_chats, read_loss, read_turns
 from pagework.llm.common import table
 from pagework.llm.decontaminate import contamination
+from pagework.llm.filter_audit import audit_filters
+from pagework.llm.fim_frames import fill_in_middle
 from pagework.llm.html_consensus import extract_pages
 from pagework.llm.packing import pack
 from pagework.llm.quality_rules import judge_quality
@@ -83,10 +85,18 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(spark, path, with_ids=False)
 
 
+def op12_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run(spark, sf_dir)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_machine, op2_quality_rules, op3_html_consensus, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, pipeline)
+    f.__name__: f for f in (op1_toxicity_machine, op2_quality_rules, op3_html_consensus, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, op12_fim_frames, op13_filter_audit, pipeline)
 }
