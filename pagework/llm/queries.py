@@ -14,6 +14,7 @@ from pagework.llm.decontaminate import contamination
 from pagework.llm.filter_audit import audit_filters
 from pagework.llm.fim_frames import fill_in_middle
 from pagework.llm.html_consensus import extract_pages
+from pagework.llm.ngram_join import jaccard_groups
 from pagework.llm.packing import pack
 from pagework.llm.quality_rules import judge_quality
 from pagework.llm.simhash_tiles import simhash_groups
@@ -85,6 +86,10 @@ def op10_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_planes(spark, path, with_ids=False)
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_groups(table(spark, sf_dir, "documents"))
+
+
 def op12_fim_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_in_middle(table(spark, sf_dir, "documents"))
 
@@ -98,5 +103,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity_machine, op2_quality_rules, op3_html_consensus, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, op12_fim_frames, op13_filter_audit, pipeline)
+    f.__name__: f for f in (op1_toxicity_machine, op2_quality_rules, op3_html_consensus, op4_winnowing_decontamination, op5_best_fit_packing, op6_simhash_near_dedup, op7_chat_format, op8_substring_dedup, op9_suffix_array_dedup, op10_token_planes, op11_ngram_join, op12_fim_frames, op13_filter_audit, pipeline)
 }
