@@ -1,39 +1,39 @@
 """Site rules (R1-R7): compile a rule table and route URLs by it.
 
 A rule table is a DataFrame with schema :data:`pagework.schemas.RULES` plus ``rule_idx``, the list
-position that breaks ties between equal priorities. Routing has two forms with equal results:
+position that breaks ties between equal priorities, and optionally ``line``, which breaks those that
+are left. Routing has two forms with equal results:
 
 * ``case``: the rules become one literal CASE chain in rank order. Stateless, no join; meant for
   the usual rule set of a few dozen entries and for streams.
-* ``join``: domain rules are found by an equi-join on domain suffixes, whose cost does not grow
-  with the number of rules; regular expressions still form a CASE chain.
+* ``join``: domain rules are found by an equi-join on domain suffixes, regular expressions by an
+  equi-join of the URLs' pieces with an inverted index of pieces that the patterns require; a pattern
+  is tried only on URLs that hold one of its pieces. Neither plan nor cost of a row grows with the rules.
 """
 
 from __future__ import annotations
 
 import json
 import logging
-import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from pagework import schemas
 from pagework.config import Config
+from pagework.functions.patterns import PATTERN_TYPE, compile_patterns, java_pattern, pieces_of
 from pagework.functions.text import let, matches, q
 from pagework.functions.urls import url_domain
+from pagework.plans.materialize import materialize
 from pagework.plans.skew import MIN_HOT_ROWS, lookup_join
 
 log = logging.getLogger(__name__)
 
-# Regular expressions have to be literals of the plan, so they pass through the driver, however many
-# they are. This many are tried in one probe.
-PROBED_AT_ONCE = 500
-# Above this many usable rules, route() prefers the join form.
+LOGGED = 5  # patterns that never match
+# Above this many rules, route() prefers the join form.
 MAX_CASE_RULES = 64
 _CHUNK = 32
 
@@ -78,91 +78,21 @@ def rules_from_list(spark: SparkSession, rules: Iterable[Mapping[str, Any]]) ->
     return spark.sql(f"SELECT inline(from_json({q(json.dumps(rows))}, {q(kind)}))")
 
 
-_QUANTIFIER = re.compile(r"\{(\d*)(,?)(\d*)\}")
-_NAMED = re.compile(r"\(\?P<(\w+)>|\(\?P=(\w+)\)")
-
-
-def _is_python(pattern: str) -> bool:
-    try:
-        re.compile(pattern)
-        return True
-    except (re.error, OverflowError, RecursionError):
-        return False
-
-
-def java_pattern(pattern: str) -> str | None:
-    """A Python pattern in Java's dialect, or None when Python itself rejects it.
-
-    Java allows only letters and digits in group names, reads ``[`` and ``&&`` inside a class as set
-    operations, has no ``{,n}`` and no plain ``{``, and spells the end of the text ``\\z``.
-    """
-    if not _is_python(pattern):
-        return None
-    names: dict[str, str] = {}
-    out, i, in_class = [], 0, False
-    while i < len(pattern):
-        c, step = pattern[i], 1
-        if c == "\\":
-            c, step = pattern[i : i + 2], 2
-            c = r"\z" if c == r"\Z" and not in_class else c
-        elif in_class:
-            in_class = c != "]"
-            c = "\\" + c if c in "[&" else c
-        elif c == "[":
-            in_class = True
-            start = "[^" if pattern.startswith("[^", i) else "["
-            step = len(start)
-            c = start
-            if pattern.startswith("]", i + step):  # a bracket right at the start is a plain one
-                c, step = start + r"\]", step + 1
-        elif m := _NAMED.match(pattern, i):
-            name = names.setdefault(m[1] or m[2], f"g{len(names) + 1}")
-            c, step = (f"(?<{name}>" if m[1] else rf"\k<{name}>"), len(m[0])
-        elif c == "{":
-            m = _QUANTIFIER.match(pattern, i)
-            if m and (m[1] or (m[2] and m[3])):
-                c, step = f"{{{m[1] or 0}{m[2]}{m[3]}}}", len(m[0])
-            elif m and m[2]:
-                c, step = "{0,}", len(m[0])
-            else:
-                c = r"\{"
-        elif c == "}":
-            c = r"\}"
-        out.append(c)
-        i += step
-    # Unicode-aware \w, \d and \s, as in Python.
-    return "(?U)" + "".join(out)
-
-
-def _rejected(spark: SparkSession, patterns: list[str]) -> set[str]:
-    """Patterns Java cannot compile, found by bisection: one probe per part when all are fine."""
-    if len(patterns) > PROBED_AT_ONCE:
-        parts = range(0, len(patterns), PROBED_AT_ONCE)
-        return set().union(*[_rejected(spark, patterns[i : i + PROBED_AT_ONCE]) for i in parts])
-    if not patterns:
-        return set()
-    try:
-        spark.sql(f"SELECT {', '.join(matches(q(''), p) for p in patterns)}").collect()
-        return set()
-    except PySparkException:
-        if len(patterns) == 1:
-            return set(patterns)
-        half = len(patterns) // 2
-        return _rejected(spark, patterns[:half]) | _rejected(spark, patterns[half:])
-
-
 def domain_key(pattern: str) -> str:
     """The suffix a domain rule looks for: lower case, without a leading '*.'."""
     return f"CASE WHEN {pattern} LIKE '*.%' THEN lower(substr({pattern}, 3)) ELSE lower({pattern}) END"
 
 
+_compile = F.arrow_udf(compile_patterns, PATTERN_TYPE)
+
+
 def compile_rules(rules: DataFrame) -> DataFrame:
     """Fill defaults, mark rules that can never match, and rank the rest.
 
-    ``rank`` orders by priority descending, then list position. It is computed from the two numbers
-    of the row itself, so a large table needs no global sort.
+    ``rank`` orders by priority descending, list position and line. It is computed from the row itself,
+    so a large table needs no global sort, and no two rules share one unless they are alike in
+    every field. ``pattern`` holds the translated regular expression and the pieces it is indexed by.
     """
-    spark = rules.sparkSession
     r = rules.select(
         "rule_idx",
         F.coalesce("name", F.lit("")).alias("name"),
@@ -172,34 +102,36 @@ def compile_rules(rules: DataFrame) -> DataFrame:
         "css_selector",
         F.col("extra_options").alias("options"),
         F.coalesce("priority", F.lit(0)).alias("priority"),
+        (F.col("line") if "line" in rules.columns else F.lit(0)).cast("bigint").alias("line"),
     )
-    patterns = r.filter(F.col("match_type") == "regex").select("match_pattern").distinct()
-    regexes = [x.match_pattern for x in patterns.collect()]
-    java = {p: java_pattern(p) for p in regexes}
-    refused = _rejected(spark, sorted({j for j in java.values() if j is not None}))
-    good = sorted(p for p, j in java.items() if j is not None and j not in refused)
-    for text, bad in (
-        ("are no valid regular expressions", sorted(p for p, j in java.items() if j is None)),
-        ("use what Java's expressions do not support", sorted(p for p, j in java.items() if j in refused)),
-    ):
-        if bad:
-            log.error("%d site rule patterns %s and never match: %s", len(bad), text, bad[:5])
+    told = _compile(F.when(F.col("match_type") == "regex", F.col("match_pattern")))
+    r = r.withColumn("pattern", told)
     is_domain = (F.col("match_type") == "domain") & (F.col("match_pattern") != "")
-    is_regex = (F.col("match_type") == "regex") & F.col("match_pattern").isin(good)
+    # What Java cannot compile comes out as null instead of ending the job.
+    tried = F.try_reflect(F.lit("java.util.regex.Pattern"), F.lit("matches"), F.col("pattern.java"), F.lit(""))
+    is_regex = (F.col("match_type") == "regex") & F.col("pattern.java").isNotNull() & tried.isNotNull()
+    whole = F.xxhash64(*(c for c in r.columns if c not in ("line", "pattern")))
     return r.select(
         "*",
         (is_domain | is_regex).alias("usable"),
-        (-F.col("priority").cast("bigint") * F.lit(2**32) + F.col("rule_idx")).alias("rank"),
+        F.struct(
+            (-F.col("priority").cast("bigint") * F.lit(2**32) + F.col("rule_idx")).alias("first"), "line", whole.alias("tie"),
+        ).alias("rank"),
     )
 
 
+def _log_unusable(rows: Iterable[Row]) -> None:
+    bad = [r.match_pattern for r in rows if r.match_type == "regex" and not r.usable]
+    if bad:
+        log.error("site rule patterns that are no valid regular expressions, or use what Java's do not support, never match; among them: %s", bad[:LOGGED])
+
+
 @dataclass(frozen=True)
 class RuleSet:
-    """A compiled rule table, with its literal rules when there are few enough of them."""
+    """A compiled rule table, with its literal rules, in rank order, when there are few enough of them."""
 
     table: DataFrame
     literal: tuple[Row, ...] | None
-    size: int
 
     @property
     def uses_css(self) -> bool:
@@ -219,16 +151,26 @@ class RuleSet:
         """Engine names some rule asks for; None when the table was not read."""
         return None if self.literal is None else frozenset(r.engine for r in self.literal)
 
+    def with_literals(self) -> "RuleSet":
+        """The same rules as literals of the plan, however many they are; for routing without a join."""
+        return self if self.literal is not None else RuleSet(self.table, _in_order(self.table.collect()))
+
+
+def _in_order(rows: Iterable[Row]) -> tuple[Row, ...]:
+    return tuple(sorted((r for r in rows if r.usable), key=lambda r: r.rank))
+
 
 def rule_set(rules: DataFrame, case_limit: int | None = MAX_CASE_RULES) -> RuleSet:
-    """``case_limit``: usable rules up to which they become literals of the plan; None for always,
-    which a stream needs."""
+    """``case_limit``: rules up to which they become literals of the plan; None for always. A larger
+    table is compiled once and written, and none of its patterns passes through the driver."""
     table = compile_rules(rules)
-    usable = table.filter("usable")
-    few = (usable if case_limit is None else usable.limit(case_limit + 1)).collect()
-    if case_limit is not None and len(few) > case_limit:
-        return RuleSet(table, None, table.count())
-    return RuleSet(table, tuple(sorted(few, key=lambda r: r.rank)), len(few))
+    few = (table if case_limit is None else table.limit(case_limit + 1)).collect()
+    if case_limit is None or len(few) <= case_limit:
+        _log_unusable(few)
+        return RuleSet(table, _in_order(few))
+    table = materialize(table, "rules")
+    _log_unusable(table.filter("match_type = 'regex' AND NOT usable").limit(LOGGED).collect())
+    return RuleSet(table, None)
 
 
 def match_domain(domain: str, pattern: str) -> str:
@@ -259,8 +201,8 @@ def _chunked(branches: list[str], kind: str) -> str:
 
 
 def first_literal(rules: Iterable[Row], url: str, domain: str) -> str:
-    """R4 for literal rules: the rank of the first rule that matches, else null."""
-    return _chunked([f"WHEN {_literal_hit(r, url, domain)} THEN {r.rank}L" for r in rules], "BIGINT")
+    """R4 for literal rules: the number of the first rule that matches, else null."""
+    return _chunked([f"WHEN {_literal_hit(r, url, domain)} THEN {i}" for i, r in enumerate(rules)], "INT")
 
 
 _ROUTE_NAMES = ("rule_matched", "rule_engine", "css_selector", "options")
@@ -277,11 +219,11 @@ def _options_literal(rule: Row) -> str:
 
 
 def _pick(rules: Iterable[Row]) -> dict[str, str]:
-    """The attributes of the literal rule whose rank is in ``_rank``; null when there is none."""
+    """The attributes of the literal rule whose number is in ``_rule``; null when there is none."""
     rules = list(rules)
 
     def chain(value, kind: str = "STRING") -> str:
-        return _chunked([f"WHEN _rank = {r.rank}L THEN {v}" for r in rules if (v := value(r)) is not None], kind)
+        return _chunked([f"WHEN _rule = {i} THEN {v}" for i, r in enumerate(rules) if (v := value(r)) is not None], kind)
 
     return {
         "name": chain(lambda r: q(r.name)),
@@ -294,7 +236,7 @@ def _pick(rules: Iterable[Row]) -> dict[str, str]:
 def _route_case(df: DataFrame, rules: RuleSet, url: str) -> DataFrame:
     assert rules.literal is not None
     df = df.withColumn("domain", F.expr(url_domain(url)))
-    ranked = df.withColumn("_rank", F.expr(first_literal(rules.literal, url, "domain")))
+    ranked = df.withColumn("_rule", F.expr(first_literal(rules.literal, url, "domain")))
     picked = _pick(rules.literal)
     return ranked.selectExpr(*df.columns, *[f"{picked[n]} AS {out}" for n, out in zip(picked, _ROUTE_NAMES)])
 
@@ -308,16 +250,18 @@ def domain_suffixes(domain: str) -> str:
     return let(f"split({domain}, '[.]', -1)", tails)
 
 
+_ENTRY = ("rank", "name", "engine", "css_selector", "options")
+
+
 def best_domain_rule(domains: DataFrame, rules: RuleSet) -> DataFrame:
     """R2 as an equi-join: the best domain rule, as a struct, per distinct ``domain``.
 
     Each side is brought to one row per key before the join. Spark broadcasts a rule table whose
     measured bytes are few and else splits the partitions of popular suffixes ('com').
     """
-    entry = F.struct("rank", "name", "engine", "css_selector", "options").alias("entry")
     wanted = (
         rules.table.filter((F.col("match_type") == "domain") & F.col("usable"))
-        .select(F.expr(domain_key("match_pattern")).alias("suffix"), "rank", entry)
+        .select(F.expr(domain_key("match_pattern")).alias("suffix"), "rank", F.struct(*_ENTRY).alias("entry"))
         .groupBy("suffix")
         .agg(F.min_by("entry", "rank").alias("entry"))
     )
@@ -329,27 +273,49 @@ def best_domain_rule(domains: DataFrame, rules: RuleSet) -> DataFrame:
     return hits.groupBy("domain").agg(F.min_by("entry", F.col("entry.rank")).alias("_entry"))
 
 
+def pattern_index(rules: RuleSet) -> DataFrame:
+    """``piece, java, entry``: every usable pattern under the pieces that it is looked up by.
+
+    A pattern offers covers, sets of pieces one of which every match holds. The one is taken whose
+    pieces the fewest patterns offer. A pattern without any stands under the empty piece, which every URL holds.
+    """
+    usable = rules.table.filter((F.col("match_type") == "regex") & F.col("usable"))
+    # Rules of the same pattern can only ever yield the first of them.
+    first = usable.groupBy("match_pattern").agg(F.min_by(F.struct(F.col("pattern.java").alias("java"), F.col("pattern.covers").alias("covers"), F.struct(*_ENTRY).alias("entry")), "rank").alias("r"))
+    offered = first.select("match_pattern", F.posexplode("r.covers").alias("cover", "pieces"))
+    offered = offered.select("match_pattern", "cover", F.explode("pieces").alias("piece"))
+    counts = offered.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
+    costs = offered.join(counts, "piece").groupBy("match_pattern", "cover").agg(F.sum("n").alias("n"), F.collect_list("piece").alias("pieces"))
+    best = costs.groupBy("match_pattern").agg(F.min_by("pieces", F.struct("n", "cover")).alias("pieces"))
+    chosen = first.join(best, "match_pattern")
+    return chosen.select(F.explode("pieces").alias("piece"), F.col("r.java").alias("java"), F.col("r.entry").alias("entry"))
+
+
+def best_pattern_rule(urls: DataFrame, rules: RuleSet, url: str = "url") -> DataFrame:
+    """R3 as an equi-join: the best rule by regular expression, as a struct, per distinct URL.
+
+    The index is joined on the pieces of the URLs, of the lengths that it has; a pattern is tried on the
+    URLs that share a piece with it and on no other.
+    """
+    index = pattern_index(rules)
+    lengths = index.agg(F.sort_array(F.collect_set(F.length("piece")))).scalar()
+    texts = urls.select(F.col(url).alias("_url")).filter("_url IS NOT NULL").distinct()
+    parts = texts.withColumn("_lengths", lengths).select("_url", F.explode(F.expr(pieces_of("_url", "_lengths"))).alias("piece"))
+    hits = parts.join(index, "piece").filter("_url RLIKE java")
+    return hits.groupBy("_url").agg(F.min_by("entry", F.col("entry.rank")).alias("_found"))
+
+
 def _route_join(df: DataFrame, rules: RuleSet, url: str, min_hot_rows: int) -> DataFrame:
     df = df.withColumn("domain", F.expr(url_domain(url)))
-    best = best_domain_rule(df, rules)
-    hit = lookup_join(df, best, "domain", F.col(url), min_hot_rows)
-    patterns = (
-        rules.table.filter((F.col("match_type") == "regex") & F.col("usable"))
-        .groupBy("match_type", "match_pattern")
-        .agg(F.min("rank").alias("rank"))
-    )
-    regexes = patterns.join(rules.table.drop("match_type", "match_pattern"), "rank").orderBy("rank").collect()
-    hit = hit.withColumn("_rank", F.expr(first_literal(regexes, url, "domain")))
-    regex_first = F.coalesce(F.col("_rank") < F.col("_entry.rank"), F.col("_rank").isNotNull())
+    # What tells rows of a hot domain or URL apart: the URL and the row's numbers.
+    spread: Column = F.xxhash64(url, *(c for c, kind in df.dtypes if kind in ("bigint", "int", "smallint", "tinyint")))
+    hit = lookup_join(df, best_domain_rule(df, rules), "domain", spread, min_hot_rows)
+    keyed = hit.withColumn("_url", F.col(url))
+    hit = lookup_join(keyed, best_pattern_rule(df, rules, url), "_url", spread, min_hot_rows)
+    by_pattern = F.coalesce(F.col("_found.rank") < F.col("_entry.rank"), F.col("_found").isNotNull())
+    best = F.when(by_pattern, F.col("_found")).otherwise(F.col("_entry"))
     names = ("name", "engine", "css_selector", "options")
-    picked = _pick(regexes)
-    return hit.select(
-        *df.columns,
-        *[
-            F.when(regex_first, F.expr(picked[n])).otherwise(F.col(f"_entry.{n}")).alias(out)
-            for n, out in zip(names, _ROUTE_NAMES)
-        ],
-    )
+    return hit.withColumn("_best", best).select(*df.columns, *[F.col(f"_best.{n}").alias(out) for n, out in zip(names, _ROUTE_NAMES)])
 
 
 def route(

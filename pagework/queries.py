@@ -207,13 +207,17 @@ def s2_load_rules(spark, sf_dir):
         stored.filter(kind == 1).withColumns({"extra_options": many, "css_selector": F.lit("main")}),
         stored.filter(kind > 1),
     ]
-    bad = stored.select(F.concat(F.lit('{"rule_idx": "x", "name": '), "name").alias("value"))
+    # Every fourth line has no index, every other of the rest one that three lines share.
+    given = F.when(kind != 2, F.when(F.col("rule_idx") % 8 < 4, F.col("rule_idx").bitwiseAND(F.lit(~3))).otherwise(F.col("rule_idx")))
+    lines = stored.select(F.col("rule_idx").alias("at"), F.lit(0).alias("k"), F.concat(F.lit('{"rule_idx": "x", "name": '), "name").alias("value"))
     for rows in forms:
-        bad = bad.unionByName(rows.select(F.to_json(F.struct("*")).alias("value")))
+        lines = lines.unionByName(rows.select(
+            F.col("rule_idx").alias("at"), F.lit(1).alias("k"),
+            F.to_json(F.struct(given.alias("rule_idx"), *(c for c in rows.columns if c != "rule_idx"))).alias("value")))
     path = new_path(spark, "rules")
-    bad.write.text(path)
+    lines.orderBy("at", "k").select("value").write.text(path)
     return load_rules(spark, path).select(
-        "rule_idx", "name", "match_type", "match_pattern", "engine", "css_selector", "priority",
+        "rule_idx", "line", "name", "match_type", "match_pattern", "engine", "css_selector", "priority",
         "extra_options.content_filter_threshold", "extra_options.output_format", "extra_options.include_links",
         F.array_join("extra_options.prune_xpath", "|").alias("prune_xpath"),
     )
@@ -301,7 +305,7 @@ def u7_truncate_content(spark, sf_dir):
 
 @query
 def r1_compile_rules(spark, sf_dir):
-    return rules.compile_rules(host_rules(spark, sf_dir)).select("rule_idx", "usable", "rank")
+    return rules.compile_rules(host_rules(spark, sf_dir)).select("rule_idx", "usable", F.col("rank.first").alias("rank"))
 
 
 @query
@@ -318,12 +322,48 @@ def r3_match_regex(spark, sf_dir):
     return got.select("pos", "rule_matched")
 
 
+@query
+def r3_pattern_index(spark, sf_dir):
+    """A pattern for every page, found by its pieces; plus some that many URLs match and some without literals."""
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet")
+    forms = [("page", r"^https?://[^/]+/.*\b", F.regexp_extract("url", "([0-9]+)", 1), r"\b"), ("host", "(?i)//", F.upper(F.regexp_extract("url", "//([^/.]+)", 1)), "[.]"),
+             ("any", "(de|fr|es)/0*", F.regexp_extract("url", "([0-9]+)", 1), "$"), ("odd", "", F.lit("^[^?]*$"), "")]
+    entries = [
+        pages.select(
+            (F.col("page_id") * len(forms) + k).cast("int").alias("rule_idx"), F.concat(F.lit(name + " "), what).alias("name"), F.lit("regex").alias("match_type"),
+            F.concat(F.lit(before), what, F.lit(after)).alias("match_pattern"), F.lit("article").alias("engine"), F.lit(None).cast("string").alias("css_selector"),
+            F.lit(None).cast(schemas.OPTIONS).alias("extra_options"), F.lit(priority).alias("priority"))
+        for k, ((name, before, what, after), priority) in enumerate(zip(forms, (2, 0, 3, -1)))
+    ]
+    every = entries[0].unionByName(entries[1]).unionByName(entries[2]).unionByName(entries[3])
+    got = rules.route(url_variants(spark, sf_dir), rules.rule_set(every))
+    return got.select("pos", "rule_matched")
+
+
 @query
 def r4_first_rule(spark, sf_dir):
     got = rules.route(url_variants(spark, sf_dir), rule_set_of(spark), strategy="join")
     return got.select("pos", "rule_matched")
 
 
+@query
+def r4_tied_rules(spark, sf_dir):
+    """Stored rules of which several share an index and others have none: the line decides between them."""
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", F.expr(u.url_domain("url")).alias("host"))
+    hosts = pages.groupBy("host").agg(F.min("page_id").alias("id"))
+    kinds = hosts.select("host", "id", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k"))
+    lines = kinds.orderBy("id", "k").select(F.to_json(F.struct(
+        F.when(F.col("k") != 1, F.col("id") * 2 + F.col("k") % 2).alias("rule_idx"), F.concat("host", F.lit("#"), "k").alias("name"),
+        F.col("host").alias("match_pattern"), F.lit("article").alias("engine"))).alias("value"))
+    path = new_path(spark, "rules")
+    lines.write.text(path)
+    stored = load_rules(spark, path)
+    urls = read_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", "url")
+    got = [rules.route(urls, rules.rule_set(stored, case_limit=limit), strategy=form).selectExpr("page_id", f"'{form}' AS form", "rule_matched")
+           for form, limit in (("case", None), ("join", 0))]
+    return got[0].unionByName(got[1])
+
+
 @query
 def r5_route(spark, sf_dir):
     got = rules.route(url_variants(spark, sf_dir), rule_set_of(spark))

@@ -28,9 +28,10 @@ def _positions(lines: DataFrame) -> DataFrame:
 
 
 def load_rules(spark: SparkSession, path: str) -> DataFrame:
-    """Rules stored as JSON lines, in the order of the lines or by ``rule_idx`` where a line has one.
+    """Rules stored as JSON lines, with ``line``, their place in the file (from 0).
 
-    A line that does not fit the schema is logged and skipped; the others load. ``prune_xpath`` may
+    A line without ``rule_idx`` has its place as such; rules of the same ``rule_idx`` rank by their
+    places. A line that does not fit the schema is logged and skipped; the others load. ``prune_xpath`` may
     be one path or a list of them.
     """
     raw = (
@@ -53,7 +54,7 @@ def load_rules(spark: SparkSession, path: str) -> DataFrame:
     columns = ["name", "match_type", "match_pattern", "engine", "css_selector", "extra_options", "priority"]
     return placed.withColumns(
         {"rule_idx": F.coalesce("rule_idx", F.col("_pos").cast("int")), "extra_options": options.cast(schemas.OPTIONS)}
-    ).select("rule_idx", *columns)
+    ).select("rule_idx", *columns, F.col("_pos").alias("line"))
 
 
 def save_rules(rules: DataFrame, path: str) -> None:

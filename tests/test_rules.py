@@ -2,12 +2,15 @@
 
 import random
 import re
+import time
 from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
 
+from pagework import schemas
 from pagework.config import Config
+from pagework.functions.patterns import covers_of, pieces_of
 from pagework.operators import rules as ru
 from pagework.queries import RULES
 from pagework.sources.pages import read_pages
@@ -141,6 +144,64 @@ def test_options_resolution(spark):
     assert {r.css for r in ru.resolve_options(df, Config(), css="p").collect()} == {"p"}
 
 
+@pytest.mark.parametrize("pattern", [
+    "abc", r"/docs/\d+", "a|bcde", "(foo|barbaz)qux?", "(?i)HeLLo", "x{0,3}yz+", "[ab]c", "(?:abcd)+e", r"\.html$", "(?=abc)d", "(abc)?d", "é+abcdé", "(?x) a b # c\n d",
+    "^(https?)://(www[.])?site[0-9]{3}[.]com/(news|blog)/", ".*", "", "(?i)k\u212ai\u0130s", "a(?:b|c(?:d|ef))g", "(?P<x>ab)(?P=x)cd", "((ab|cd)|(ef|gh))ij",
+])
+def test_every_match_holds_a_piece(spark, pattern):
+    """Brute force over random texts: no text that a pattern matches lacks all pieces of any of its covers."""
+    rnd = random.Random(pattern)
+    parts = ["abc", "abcd", "bcde", "foo", "barbaz", "qu", "qux", "hello", "HELLO", "y", "yzz", "xyz", "c", "e", "d", ".html", "/docs/", "7", "é", "https://", "www.", "site123", ".com/", "news/",
+             "k\u212a", "K\u212aI\u0130S", "kki\u0130\u017f", "abab", "ij", "gh", "abd", "g", "ef"]
+    texts = ["".join(rnd.choices(parts, k=rnd.randrange(1, 6))) for _ in range(3000)]
+    covers = covers_of(pattern)
+    assert covers and len({len(p) for c in covers for p in c}) == 1
+    hits = [t for t in texts if re.search(pattern, t)]
+    rows = spark.createDataFrame([(t,) for t in hits], "u STRING").selectExpr(f"{pieces_of('u', f'array({len(covers[0][0])})')} AS p").collect()
+    assert all(set(c) & set(r.p) for r in rows for c in covers)
+
+
+def test_pattern_index_against_brute_force(spark):
+    rnd = random.Random(5)
+    names = [rnd.choice("abcdefgh") + str(i) for i in range(200)]
+    entries = [{"name": n, "match_type": "regex", "match_pattern": p, "priority": rnd.randrange(4)} for n in names for p in [rnd.choice([
+        f"/{n}/", f"(?i)/{n.upper()}$", f"{n[1:]}|x{n}", n[0], f"^http://[^/]+/{n}", rf"{n[1:]}\d", "(", "[a&&b]", f"({n})?/{n[:2]}", "(?P<a>[a-h])/(?P=a)"])]]
+    entries += [{"name": "dom", "match_pattern": "b.com", "priority": 2}]
+    urls = [f"http://{rnd.choice('abc')}.com/{rnd.choice(names)}/{rnd.choice(names)}" for _ in range(300)] + ["", "x", "http://b.com"]
+    rules = ru.rule_set(ru.rules_from_list(spark, entries))
+    assert rules.literal is None
+    got = ru.route(spark.createDataFrame([(x,) for x in [*urls, None]], "url STRING"), rules, min_hot_rows=0)
+    assert {r.url: r.rule_matched for r in got.collect()} == {**{x: brute_force(entries, x) for x in urls}, None: None}
+
+
+def test_plan_does_not_grow_with_the_rules(spark, tmp_path):
+    """10,000 patterns give the plan of 10, and take less than five times as long over the same URLs."""
+    urls = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    plans, seconds = [], []
+    for n in (10, 10_000):
+        rows = spark.range(n).selectExpr("CAST(id AS INT) AS rule_idx", "concat('r', id) AS name", "'regex' AS match_type", "concat('/(de|en|fr)/0*', id, '[^0-9]') AS match_pattern",
+                                         "'article' AS engine", "CAST(NULL AS STRING) AS css_selector", f"CAST(NULL AS {schemas.OPTIONS}) AS extra_options", "0 AS priority")
+        save_rules(rows, str(tmp_path / f"n{n}"))
+        rules = ru.rule_set(load_rules(spark, str(tmp_path / f"n{n}")), case_limit=0)
+        ru.route(urls, rules).count()
+        start = time.monotonic()
+        got = ru.route(urls, rules)
+        hits = got.filter("rule_matched IS NOT NULL").count()
+        seconds.append(time.monotonic() - start)
+        plans.append(re.sub(r"#\d+L?|v\d+|rules-\w+|plan_id=\d+|id=#\d+|\[id=.*?\]|_\d+", "", plan(got)))
+    assert hits > 100 and len(plans[0]) == len(plans[1]) and seconds[1] < 5 * seconds[0]
+
+
+def test_rules_of_one_rank_stay_apart(spark, tmp_path):
+    """A line without an index and a later one with the same: each keeps its own name and engine."""
+    (tmp_path / "r.json").write_text('{"name": "first", "match_pattern": "a.com", "engine": "article"}\n{"rule_idx": 0, "name": "second", "match_pattern": "b.com", "engine": "pruned"}\n'
+                                     '{"rule_idx": 0, "name": "third", "match_pattern": "b.com", "engine": "x"}\n{"name": "re", "match_type": "regex", "match_pattern": "c[.]com", "engine": "y"}\n')
+    df = spark.createDataFrame([("http://a.com/",), ("http://b.com/",), ("http://c.com/",)], "url STRING")
+    for limit, form in ((None, "case"), (0, "join")):
+        got = ru.route(df, ru.rule_set(load_rules(spark, str(tmp_path / "r.json")), case_limit=limit), strategy=form).collect()
+        assert {r.url[7]: (r.rule_matched, r.rule_engine) for r in got} == {"a": ("first", "article"), "b": ("second", "pruned"), "c": ("re", "y")} and len(got) == 3
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
