@@ -12,7 +12,7 @@ from pagework.operators.dispatch import parse_loaded
 from pagework.operators.engines import Registry, default_registry, metadata_struct
 from pagework.operators.rules import RuleSet, force_engine, route
 from pagework.plans.skew import MIN_HOT_ROWS, lookup_join
-from pagework.sources.pages import fetch_pages, with_fetch_columns
+from pagework.sources.pages import CaptureStore, fetch_pages, with_fetch_columns
 
 
 def _routed(df: DataFrame, rules: RuleSet | None, engine: str | None, strategy: str) -> DataFrame:
@@ -49,7 +49,7 @@ def parse_pages(
 
 def parse_batch(
     inputs: DataFrame,
-    pages: DataFrame,
+    pages: DataFrame | CaptureStore,
     rules: RuleSet | None = None,
     registry: Registry | None = None,
     config: Config | None = None,
@@ -59,6 +59,7 @@ def parse_batch(
     min_hot_rows: int = MIN_HOT_ROWS,
 ) -> DataFrame:
     """One response per row of ``inputs`` (pos, url), duplicates and unusable URLs included.
+    ``pages`` is a table of captures or a store of them.
 
     Every distinct URL is routed, looked up and parsed once, however often it was asked for; the
     results go back to the input rows in a join that spreads URLs asked for very often.

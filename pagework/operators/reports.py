@@ -17,6 +17,7 @@ from pagework.functions.urls import extract_urls, filter_valid, strip_url
 from pagework.operators.batch import parse_batch
 from pagework.operators.engines import message
 from pagework.plans.materialize import materialize
+from pagework.sources.pages import CaptureStore
 
 BUCKET = 256
 
@@ -85,7 +86,7 @@ def _inputs(requests: DataFrame) -> DataFrame:
 
 
 def execute_requests(
-    requests: DataFrame, pages: DataFrame, bucket: int = BUCKET, **parse_options
+    requests: DataFrame, pages: DataFrame | CaptureStore, bucket: int = BUCKET, **parse_options
 ) -> DataFrame:
     """(request_id, part, total, ok, code, text) for every request (request_id, text), a row per response.
 

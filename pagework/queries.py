@@ -22,7 +22,7 @@ from pagework.operators.engines import (
 )
 from pagework.plans.materialize import materialize, new_path
 from pagework.plans.partitions import spread
-from pagework.sources.pages import fetch_pages, read_pages
+from pagework.sources.pages import fetch_pages, open_captures, read_pages, write_captures
 from pagework.sources.rule_files import load_rules
 from pagework.sources.sinks import response_json, write_text
 from pagework.streaming.parse_stream import (
@@ -192,6 +192,17 @@ def s1_fetch_pages(spark, sf_dir):
     return got.select("url", "page_id", "status_code", "redirected_url", F.md5("html").alias("html_md5"))
 
 
+@query
+def s1_capture_store(spark, sf_dir):
+    """The same from a store of the captures, and from one that is opened again."""
+    urls = u.validate_urls(url_variants(spark, sf_dir).select(F.expr(u.strip_url("url")).alias("url")).distinct())
+    path = new_path(spark, "captures")
+    first = fetch_pages(urls, write_captures(captures_of(spark, sf_dir), path, buckets=16))
+    again = fetch_pages(urls, open_captures(spark, path, buckets=16))
+    both = first.withColumn("opened", F.lit(False)).unionByName(again.withColumn("opened", F.lit(True)))
+    return both.select("url", "opened", "page_id", "status_code", "redirected_url", F.md5("html").alias("html_md5"))
+
+
 @query
 def s2_load_rules(spark, sf_dir):
     """Lines with a path alone, with options and a list of paths, without options, and broken ones."""

@@ -2,6 +2,7 @@
 
 import collections
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,12 +135,15 @@ def batch_inputs():
 PAGES = [(1, "http://a.com/1", "<p>one</p>"), (2, "http://hot.com/", "<p>hot</p>"), (3, "http://hot.com/", "<p>newer</p>"), (4, "http://unused.com", "u")]
 
 
-@pytest.mark.parametrize("min_hot_rows,few", [(10, 0), (10**6, 100)])
-def test_batch_keeps_every_input_row(spark, monkeypatch, min_hot_rows, few):
-    monkeypatch.setattr(page_source, "MAX_BROADCAST_URLS", few)
+@pytest.mark.parametrize("min_hot_rows,words,stored", [(10, 1, False), (10**6, 1 << 18, False), (10, 1, True)])
+def test_batch_keeps_every_input_row(spark, monkeypatch, tmp_path, min_hot_rows, words, stored):
+    monkeypatch.setattr(page_source, "FILTER_WORDS", words)
     rows = batch_inputs()
     inputs = spark.createDataFrame(rows, "pos BIGINT, url STRING")
     pages = spark.createDataFrame(PAGES, "page_id BIGINT, url STRING, html STRING")
+    if stored:
+        page_source.write_captures(pages, str(tmp_path / "store"), buckets=3)
+        pages = page_source.open_captures(spark, str(tmp_path / "store"), buckets=3)
     reg = Registry().register("article", article_engine(ArticleOptions()))
     got = parse_batch(inputs, pages, None, reg, Config(engine_order=()), min_hot_rows=min_hot_rows)
     assert got.columns == list(schemas.RESPONSE_COLUMNS)
@@ -154,10 +158,49 @@ def test_batch_keeps_every_input_row(spark, monkeypatch, min_hot_rows, few):
         assert r.error_code == expected
 
 
-def test_empty_batch(spark):
+def test_empty_batch(spark, tmp_path):
     inputs = spark.createDataFrame([], "pos BIGINT, url STRING")
     pages = spark.createDataFrame(PAGES, "page_id BIGINT, url STRING, html STRING")
     assert parse_batch(inputs, pages).count() == 0
+    assert parse_batch(inputs, page_source.write_captures(pages.limit(0), str(tmp_path / "s"), 2)).count() == 0
+
+
+def moving_html(plan):
+    """The exchanges that rows with HTML go through: those with a node below them that gives an html column."""
+    out, lines = [], plan.splitlines()
+    depth = [len(x) - len(x.lstrip(" :+-*()0123456789")) for x in lines]
+    for k, line in enumerate(lines):
+        if "Exchange hashpartitioning" in line or "Exchange rangepartitioning" in line or "Exchange RoundRobin" in line:
+            below = lines[k + 1] if k + 1 < len(lines) and depth[k + 1] > depth[k] else ""
+            out += [line] if re.search(r"\bhtml#", below) else []
+    return out
+
+
+def test_no_html_of_other_pages_moves(spark, tmp_path):
+    """From a store no HTML meets an exchange, whatever the number of URLs, and nothing is counted before the
+    plan is made; from a plain table only what passes the filter of wanted URLs."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    store = page_source.write_captures(pages, str(tmp_path / "store"), buckets=8)
+    jobs, threshold = spark.sparkContext.statusTracker(), "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")  # as for tables of real size
+    for n in (10, 2500):
+        urls = pages.select("url").limit(n)
+        spark.sparkContext.setJobGroup(f"plan-{n}", "")
+        fetched = page_source.fetch_pages(urls, store)
+        plain = page_source.fetch_pages(urls, pages)
+        text = fetched._jdf.queryExecution().executedPlan().toString()
+        assert not jobs.getJobIdsForGroup(f"plan-{n}") and not moving_html(text)
+        assert "ShuffledHashJoin" in text and "BuildLeft" in text and "Bucketed: true" in text and "SortMergeJoin" not in text
+        scans = plain._jdf.queryExecution().executedPlan().toString()
+        assert moving_html(scans)
+        assert scans.count("ReadSchema: struct<url:string,html") + scans.count("ReadSchema: struct<page_id:bigint,url:string,html") == 1
+        assert [r.html for r in plain.orderBy("url").collect()] == [r.html for r in fetched.orderBy("url").collect()]
+    spark.conf.set(threshold, before)
+    spark.sparkContext.setJobGroup("rest", "")
+    wanted = spark.range(1000).selectExpr("concat('http://not.there/', id) AS url")
+    assert page_source.only_wanted(pages, wanted).count() < 25  # what a filter of this size lets through wrongly
+    assert page_source.only_wanted(pages, pages.select("url")).count() == pages.count()
 
 
 def response_rows(spark, rows):
