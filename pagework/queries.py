@@ -24,9 +24,10 @@ from pagework.plans.materialize import materialize, new_path
 from pagework.plans.partitions import spread
 from pagework.sources.pages import fetch_pages, open_captures, read_pages, write_captures
 from pagework.sources.rule_files import load_rules
+from pagework.sources.rule_versions import RuleVersions
 from pagework.sources.sinks import response_json, write_text
 from pagework.streaming.parse_stream import (
-    hot_rules_stream, parse_stream, read_page_stream, write_stream,
+    hot_rules_stream, parse_request_stream, parse_stream, read_page_stream, write_stream,
 )
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -661,6 +662,50 @@ def f5_hot_rules(spark, sf_dir):
     return spark.read.schema(schemas.RESPONSES).parquet(f"{out}/*").select(*OUTCOME)
 
 
+@query
+def f4_request_stream(spark, sf_dir):
+    """A request for every page, each answered as its capture arrives; captures of every seventh page never do.
+
+    Rows come in three parts by page id, those of every fifth capture a part later than their request; a last
+    part far in the future ends all waiting."""
+    pages = read_pages(spark, f"{sf_dir}/pages.parquet").withColumn("part", F.col("page_id") % 3)
+    at = F.timestamp_seconds(1_700_000_000 + F.col("page_id") % 600)
+    asked = pages.select("part", F.col("page_id").alias("pos"), "url", at.alias("asked_at"))
+    late = F.when(F.col("page_id") % 5 == 0, F.col("part") + 1).otherwise(F.col("part"))
+    found = pages.filter("page_id % 7 <> 0").select(late.alias("part"), "page_id", "url", "html", (at + F.expr("make_dt_interval(0, 0, CAST(page_id % 4 AS INT), 0)")).alias("captured_at"))
+    end = F.timestamp_seconds(F.lit(1_800_000_000))
+    asked = asked.unionByName(asked.limit(1).select(F.lit(4).alias("part"), F.lit(-1).alias("pos"), F.lit("").alias("url"), end.alias("asked_at")))
+    found = found.unionByName(found.limit(1).select(F.lit(4).alias("part"), F.lit(-1).alias("page_id"), F.lit("").alias("url"), F.lit("").alias("html"), end.alias("captured_at")))
+    streams = []
+    for rows in (asked, found):
+        folder = new_path(spark, "arriving")
+        for part in range(5):
+            rows.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(folder)
+        streams.append(spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    out = new_path(spark, "answers")
+    got = parse_request_stream(*streams, rule_set_of(spark), native_registry(), ORDER, late="1 hour")
+    write_stream(got, out).awaitTermination()
+    return spark.read.schema(got.schema).parquet(out).select(*OUTCOME)
+
+
+@query
+def f5_versioned_rules(spark, sf_dir):
+    """One running query; new rules are published while it is between its two batches."""
+    folder, out = new_path(spark, "arriving"), new_path(spark, "versions-out")
+    for half in (0, 1):
+        pages_of(spark, sf_dir).filter(F.col("page_id") % 2 == half).coalesce(1).write.mode("append").parquet(folder)
+    store = RuleVersions.create(rules.rules_from_list(spark, RULES), new_path(spark, "rule-versions"))
+
+    def write(responses: DataFrame, number: int) -> None:
+        responses.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        if number == 0:
+            store.publish(rules.rules_from_list(spark, RULES[4:]))
+
+    stream = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", 1).parquet(folder)
+    hot_rules_stream(stream, store, write, registry=native_registry(), config=ORDER).awaitTermination()
+    return spark.read.schema(f"{schemas.RESPONSES}, rules_version LONG").parquet(f"{out}/*").select(*OUTCOME, "rules_version")
+
+
 # ---- the whole pipeline with the default engines --------------------------------------------
 
 

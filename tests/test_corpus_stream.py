@@ -5,17 +5,20 @@ import re
 import shutil
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
+from pagework import schemas
 from pagework.config import ArticleOptions, Config
 from pagework.operators import corpus
-from pagework.operators.batch import parse_pages
+from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
 from pagework.operators.rules import rule_set, rules_from_list
 from pagework.plans.skew import hot_keys, lookup_join
 from pagework.sources.rule_files import save_rules
+from pagework.sources.rule_versions import RuleVersions
 from pagework.sources.sinks import responses_to_json, write_responses, write_text
-from pagework.streaming.parse_stream import hot_rules_stream, parse_stream, read_page_stream, write_stream
+from pagework.streaming.parse_stream import hot_rules_stream, parse_request_stream, parse_stream, read_page_stream, write_stream
 
 SF = "/root/testdata/sf0.001"
 
@@ -104,6 +107,79 @@ def test_rules_apply_without_restart(spark, tmp_path):
     assert seen == {0: {"old"}, 1: {"new"}}
 
 
+def test_one_query_sees_edited_rules(spark, tmp_path):
+    """Rules are edited between the batches of one running query. A batch that fails after its rules were replaced
+    is repeated by the next query with the version that it had."""
+    source, seen, failed = tmp_path / "in", [], []
+    source.mkdir()
+    for number in range(3):
+        shutil.copy(f"{SF}/pages.parquet", source / f"p{number}.parquet")
+
+    def named(name):
+        return rules_from_list(spark, [{"name": name, "match_type": "regex", "match_pattern": "^http", "engine": "article"}])
+
+    store = RuleVersions.create(named("one"), str(tmp_path / "rules"))
+
+    def write(responses, number):
+        rows = responses.select("rule_matched", "rules_version").distinct().collect()
+        if number < 2:
+            store.publish(named(("two", "three")[number]))
+        if number == 1 and not failed:
+            failed.append(rows)
+            raise RuntimeError("lost")
+        seen.append((number, *rows))
+
+    def start():
+        stream = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", 1).parquet(str(source))
+        return hot_rules_stream(stream, store, write, str(tmp_path / "cp"), registry=article_only(), config=Config(engine_order=()))
+
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination()
+    assert seen == [(0, ("one", 1))] and failed == [[("two", 2)]] and store.current(spark) == 3
+    start().awaitTermination()
+    assert seen[1:] == [(1, ("two", 2)), (2, ("three", 4))]
+
+
+@pytest.mark.parametrize("n_rules", [0, 200])
+def test_request_stream_equals_batch(spark, tmp_path, n_rules):
+    """Captures before and after their requests, out of order, too old, too new, twice and never."""
+    minutes = {"early": [-30], "soon": [4], "twice": [-20, -5], "old": [-90], "new": [20], "edge": [10], "never": [], "both": [-90, 3, 20]}
+    rows = [(i, f"http://{kind}.example.com/{i}", 60 + 15 * (i % 8)) for i, kind in enumerate(list(minutes) * 3)]
+    rows += [(100, "  ", 61), (101, "nope", 62), (102, None, 63), (103, rows[0][1], 61)]
+    shots = [(i * 10 + k, url, f"<p>page {i} {k}</p>", at + m) for i, url, at in rows[:24] for k, m in enumerate(minutes[url[7:].split(".")[0]])]
+    asked, shot = "pos LONG, url STRING, asked_at LONG", "page_id LONG, url STRING, html STRING, captured_at LONG"
+
+    def files(kind, rows, columns, late):
+        """Three files in the order of time but for a few rows that come late, then one that ends all waiting."""
+        rows = sorted(rows, key=lambda r: r[3 - (len(r) == 3)])
+        far = (-1, "http://end.example.com/", 10_000) if len(rows[0]) == 3 else (-1, "http://end.example.com/", "", 10_000)
+        parts = [rows[0::2][: len(rows) // 4], [r for r in rows if r not in rows[0::2][: len(rows) // 4]], [], [far]] if late else [rows[: len(rows) // 2], rows[len(rows) // 2 :], [], [far]]
+        for part in filter(None, parts):
+            df = spark.createDataFrame(part, columns)
+            time = columns.split()[-2]
+            df.withColumn(time, F.timestamp_seconds(F.col(time) * 60)).coalesce(1).write.mode("append").parquet(str(tmp_path / kind))
+        schema = columns.replace("_at LONG", "_at TIMESTAMP")
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / kind))
+
+    rules = None
+    if n_rules:
+        entries = [{"name": f"r{k}", "match_pattern": f"h{k}.net"} for k in range(n_rules)] + [{"name": "soon", "match_pattern": "soon.example.com", "engine": "article"}]
+        rules = rule_set(rules_from_list(spark, entries))
+        assert rules.literal is None
+    requests, captures = files("requests", rows, asked, False), files("captures", shots, shot, True)
+    got = parse_request_stream(requests, captures, rules, article_only(), Config(engine_order=()), late="300 minutes")
+    write_stream(got, str(tmp_path / "out"), str(tmp_path / "cp")).awaitTermination()
+    answered = spark.read.schema(got.schema).parquet(str(tmp_path / "out"))
+    at = {i: t for i, _, t in rows}
+    near = [s for s in shots for i, url, t in rows if url == s[1] and i < 100 and -60 <= s[3] - at[i] <= 10]
+    pages = spark.createDataFrame(near, shot.replace("captured_at LONG", "captured_at LONG"))
+    batch = parse_batch(spark.createDataFrame([r[:2] for r in rows], "pos LONG, url STRING"), pages, rules, article_only(), Config(engine_order=()))
+    told = {r.pos: r for r in answered.collect()}
+    assert answered.count() == len(told) == len(rows)
+    assert told == {r.pos: r for r in batch.collect()}
+    assert {told[i].success for i in range(24) if "never" in rows[i][1] or "old" in rows[i][1]} == {False} and sum(r.success for r in told.values()) > 10
+
+
 def test_hot_keys_are_few_and_the_join_is_exact(spark):
     left = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id) END AS key")
     right = spark.range(5000).selectExpr("concat('k', id) AS key", "id AS value").union(spark.sql("SELECT 'hot', -1L"))
