@@ -8,9 +8,9 @@ matches nothing, so a class whose prefix is all such n-grams has no partner and
 
 Candidates have to pass a length filter, a positional filter (what may still be shared from the common
 n-gram on) and a suffix filter (how much two sets can share at most, by intervals of the order). Each pair
-is verified once, on the whole sets. The first round tries in each posting list only the pairs of every
-member with a few leaders, which connects groups of near copies in a linear number of pairs; the
-second round tries all candidates that are not yet in one component, so no component is lost.
+is verified once, on the whole sets. The first turns try in each posting list only the pairs of every
+member with a few others, which connects groups of near copies in a linear number of pairs; the
+last turn tries all candidates that are not yet in one component, so no component is lost.
 """
 
 from __future__ import annotations
@@ -34,6 +34,7 @@ PERCENT = 80
 BLOCK_BYTES = 4 << 20  # of text; a block's n-grams take about twice that
 RANGE_GRAMS = 2_000_000  # of a range of hashes
 LEADERS = 2  # beside the shortest set of a posting list
+WORTH = 100  # another turn of drawn pairs follows while one in so many is a link
 INTERVALS = 8  # of the order of n-grams, by how many classes hold them
 _ODD = np.array([xxhash.xxh64_intdigest(f"word {k}") | 1 for k in range(64)], np.uint64)
 
@@ -204,12 +205,27 @@ def _led_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return pairs.select(F.least("a", "class").alias("u"), F.greatest("a", "class").alias("v")).distinct()
 
 
-def _open_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """All candidates that lie in different components: pairs of a shorter and a longer set that share an n-gram of
-    the one's short and the other's prefix and pass the length, positional and suffix filters."""
+def _open_postings(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Posting lists with members of different components, and the ``root`` of each member."""
     rooted = postings.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     open_grams = rooted.groupBy("gram").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.max("short").alias("led")).filter("low < high AND led").select("gram")
-    rooted = materialize(rooted.join(open_grams, "gram", "left_semi"), "open")
+    return materialize(rooted.join(open_grams, "gram", "left_semi"), "open")
+
+
+def _drawn_pairs(rooted: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Members of open posting lists with a few members of other components, drawn anew for each list and turn: the
+    larger a component is, the likelier they are of it."""
+    draws = [F.min(F.struct(F.xxhash64("class", "gram", F.lit(LEADERS * turn + k)).alias("draw"), "class", "n", "root")).alias(f"leader{k}") for k in range(max(1, LEADERS))]
+    leaders = rooted.groupBy("gram").agg(*draws)
+    them = [F.struct(F.col(f"leader{k}.class").alias("a"), F.col(f"leader{k}.n").alias("an"), F.col(f"leader{k}.root").alias("ar")) for k in range(max(1, LEADERS))]
+    tried = rooted.select("gram", "class", "n", "root").join(leaders.select("gram", F.array(*them).alias("leaders")), "gram")
+    pairs = tried.select("class", "n", "root", F.explode("leaders").alias("_")).select("class", "n", "root", "_.*").filter("ar <> root").filter(_length_filter("an", "n", percent))
+    return pairs.select(F.least("a", "class").alias("u"), F.greatest("a", "class").alias("v")).distinct()
+
+
+def _open_pairs(rooted: DataFrame, percent: int) -> DataFrame:
+    """All candidates that lie in different components: pairs of a shorter and a longer set that share an n-gram of
+    the one's short and the other's prefix and pass the length, positional and suffix filters."""
     a = rooted.filter("short").selectExpr("gram", "class AS a", "n AS an", "at AS aat", "intervals AS ai", "root AS ar")
     b = rooted.selectExpr("gram", "class AS b", "n AS bn", "at AS bat", "intervals AS bi", "root AS br")
     pairs = a.join(b, "gram").filter("ar <> br AND (an < bn OR an = bn AND a < b)").filter(_length_filter("an", "bn", percent))
@@ -219,6 +235,26 @@ def _open_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     return pairs.select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
 
 
+def _components(postings: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
+    """``node, root`` of the linked classes: turns of drawn pairs while these still find links, then all open pairs."""
+    tried = materialize(_led_pairs(postings, percent), "tried")
+    links = materialize(_verified(tried, survivors, percent), "links")
+    roots, turn = connected_components(links), 0
+    while True:
+        rooted = _open_postings(postings, roots)
+        drawn = materialize(_drawn_pairs(rooted, percent, turn).join(tried, ["u", "v"], "left_anti"), "tried")
+        links = materialize(_verified(drawn, survivors, percent), "links")
+        tried, found, n = tried.unionAll(drawn), links.count(), drawn.count()
+        if found:
+            roots = connected_components(links.unionAll(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+        if found * WORTH < n or not found:
+            break
+        turn += 1
+    rest = _open_pairs(_open_postings(postings, roots), percent).join(tried, ["u", "v"], "left_anti")
+    links = _verified(rest, survivors, percent)
+    return connected_components(links.unionAll(roots.select(F.col("node").alias("u"), F.col("root").alias("v"))))
+
+
 def _verified(pairs: DataFrame, survivors: DataFrame, percent: int) -> DataFrame:
     """The pairs of sets that are similar enough, by their whole intersections."""
     sets = survivors.select("class", "n", "grams")
@@ -244,18 +280,8 @@ def jaccard_groups(
     ranges = pieces(total // 4, range_grams)
     answers = _frequencies(blocked, reps, size, ranges)
     survivors = _survivors(blocked, reps, answers, size, ranges, percent)
-    postings = _postings(survivors, percent)
-    led = materialize(_led_pairs(postings, percent), "led")
-    roots = connected_components(_verified(led, survivors, percent))
-    rest = _open_pairs(postings, roots, percent).join(led, ["u", "v"], "left_anti")
-    more = materialize(_verified(rest, survivors, percent), "more")
-    # The links found last are between components, so they join these.
-    of = roots.withColumnRenamed("node", "u").withColumnRenamed("root", "ur")
-    ends = more.join(of, "u", "left").join(of.selectExpr("u AS v", "ur AS vr"), "v", "left")
-    joined = connected_components(ends.select(F.coalesce("ur", "u").alias("u"), F.coalesce("vr", "v").alias("v")))
-    last = joined.selectExpr("node AS root", "root AS last")
-    rooted = classes.select("key", "class", "least").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
-    rooted = rooted.join(last, "root", "left").select("key", "least", F.coalesce("last", "root").alias("root"))
+    roots = _components(_postings(survivors, percent), survivors, percent).withColumnRenamed("node", "class")
+    rooted = classes.select("key", "class", "least").join(roots, "class", "left").select("key", "least", F.coalesce("root", "class").alias("root"))
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = materialize(rooted.join(names, "root").select("key", "component_id"), "named")
     # Empty sets match no key, and are dealt out by their ids.

@@ -83,10 +83,20 @@ def test_chains(spark, monkeypatch, seed):
     assert joined(docs) == brute(rows)
 
 
-def test_a_hot_group_makes_few_pairs(spark, monkeypatch):
-    """300 near copies of one text: links of the members to leaders connect them, no pair is left open."""
-    words = [f"w{i}" for i in range(100)]
-    docs = spark.createDataFrame([(k, " ".join([*words[: k % 90], f"new{k}", *words[k % 90 + 1 :]])) for k in range(300)], "doc_id LONG, text STRING")
+@pytest.mark.parametrize("edits", [1, 2])
+def test_a_hot_group_makes_few_pairs(spark, monkeypatch, edits):
+    """300 near copies of one text: links to drawn members connect them, no pair is left open. With two edits each
+    a pair of members is seldom similar enough, but every member has several partners."""
+    words = [f"w{i}" for i in range(160)]
+    random.seed(edits)
+    texts = []
+    for k in range(300):
+        text = list(words)
+        for i in range(edits):
+            text[random.randrange(160)] = f"new{k}-{i}"
+        texts.append((k, " ".join(text)))
+    docs = spark.createDataFrame(texts, "doc_id LONG, text STRING")
+    assert edits == 1 or 0.02 < sum(5 * len(grams(a) & grams(b)) >= 4 * len(grams(a) | grams(b)) for (_, a), (_, b) in zip(texts, texts[1:] + texts[:1])) / 300 < 0.95
     left = []
     monkeypatch.setattr(ngram_join, "_open_pairs", lambda *a: left.append(_open_pairs(*a)) or left[0])
     assert {r.component_id for r in jaccard_groups(docs).collect()} == {0} and left[0].count() == 0
