@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import ctypes
+import gc
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,3 +35,24 @@ def text_bytes(df: DataFrame, text: str) -> int:
 
 def pieces(total: int, each: int, least: int = 1) -> int:
     return max(least, -(-total // each))
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """What runs inside sends texts to Python workers in batches of at most so many rows. A batch of long texts is
+    held several times over, by the JVM, by Arrow and as strings, in every worker of an executor."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def give_back() -> None:
+    """Return what earlier tasks of a reused worker have left to the system, where the C library can."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

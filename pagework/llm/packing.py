@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
-from pagework.llm.common import pieces, quoted
+from pagework.llm.common import give_back, pieces, quoted, small_batches
 from pagework.llm.tokens import END_ID, Encoder
 from pagework.plans.materialize import materialize
 
@@ -72,6 +72,7 @@ def token_pieces(
     end = end_id.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder = Encoder.of(tokenizer, special_as_text)
         for batch in batches:
             row, numbers, starts, lengths, crcs, parts = [], [], [], [], [], []
@@ -112,7 +113,8 @@ def pack(
     written once, so a packer that runs again gets the same pieces in the same order. Strings of the
     tokenizer's special tokens are ordinary text, or one id with ``special_as_text`` off.
     """
-    cut = materialize(token_pieces(docs, tokenizer, id_col, text_col, size, keep_ids=keep_ids, special_as_text=special_as_text), "pieces")
+    with small_batches(docs.sparkSession):
+        cut = materialize(token_pieces(docs, tokenizer, id_col, text_col, size, keep_ids=keep_ids, special_as_text=special_as_text), "pieces")
     tasks = pieces(cut.count(), pieces_per_task)
     mixed = F.xxhash64("doc_id", "start", "ids_crc32")
     arriving = (
