@@ -10,7 +10,6 @@ twice leaves nothing that a reader sees.
 
 from __future__ import annotations
 
-import os
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -24,12 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
 from pyspark.sql.types import ArrayType, BinaryType, DataType, LongType, StringType, StructField, StructType
 
-from pagework.llm.common import pieces, quoted, text_bytes
+from pagework.llm.common import give_back, pieces, quoted, small_batches, text_bytes
 from pagework.llm.tokens import END_ID, Encoder
 from pagework.plans.materialize import new_path
 
 BLOCK_IDS = 1 << 16
-SHARD_BYTES = 8 << 20  # of text
+SHARD_BYTES = 32 << 20  # of text; a worker learns the words of near documents once in a shard
 
 
 def _index(id_type: DataType) -> StructType:
@@ -63,11 +62,18 @@ def from_planes(planes: list[bytes], n: int, bits: bool) -> np.ndarray:
     return raw.reshape(-1).view("<u4")
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The URI that Spark itself takes a path for: one without a scheme lies on Hadoop's default file system."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = there.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(there).toString()
+    return "file://" + uri.removeprefix("file:") if uri.startswith("file:/") and not uri.startswith("file://") else uri
+
+
 def _store(path: str):
     """File system and path of a URI, for workers: local, Hadoop or object stores alike."""
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else "file://" + os.path.abspath(path))
+    return fs.FileSystem.from_uri(path)
 
 
 def write_planes(
@@ -82,9 +88,7 @@ def write_planes(
     Strings of the tokenizer's special tokens are ordinary text, or one id with ``special_as_text`` off.
     """
     spark = docs.sparkSession
-    path = path or new_path(spark, "planes")
-    if "://" not in path and not path.startswith("file:"):
-        path = "file://" + os.path.abspath(path)
+    path = _qualified(spark, path or new_path(spark, "planes"))
     narrow = docs.select(F.col(quoted(id_col)).alias("id"), F.col(quoted(text_col)).alias("text"))
     shards = pieces(text_bytes(narrow, "text"), SHARD_BYTES)
     # By range, then sorted: shard numbers ascend with the ids, and rows of one id stay together.
@@ -96,6 +100,7 @@ def write_planes(
     store.create_dir(top + "/files", recursive=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         encoder, packer = Encoder.of(tokenizer, special_as_text), zstandard.ZstdCompressor(level=level)
         shard, name = TaskContext.get().partitionId(), f"{uuid.uuid4().hex}.planes"
         files, folder = _store(path)
@@ -136,12 +141,14 @@ def write_planes(
             columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow)]
             yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
 
-    placed.mapInArrow(run, schema).write.parquet(path + "/index")
+    with small_batches(spark):
+        placed.mapInArrow(run, schema).write.parquet(path + "/index")
     return path
 
 
 def read_planes(spark: SparkSession, path: str, bits: bool = False, with_ids: bool = True) -> DataFrame:
     """``doc_id, start, n_tokens, ids_crc32`` and, if asked for, ``ids`` (little-endian bytes) of every document, from the files."""
+    path = _qualified(spark, path)
     index = spark.read.parquet(path + "/index")
     totals = index.groupBy("shard").agg(F.sum("n_ids").alias("n"))
     # One row per file: the running sum of these is small.
