@@ -27,7 +27,10 @@ LEAST_SHARE = 0.3  # of the host's votes, for a path beside the first
 NEAR = 0.8  # of the worth of a page's own best container, for a path of its host to be used on it
 RESULTS = ("text", "n_chars")
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*?)(/?)>", re.S)
+# Possessive parts, and none that crosses a "<" outside quotes: what a tag has read it never reads again, so a page that
+# is cut off inside a tag takes no longer than another. A tag that does not end is passed over up to the next "<" or ">".
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>?|<(/?)([a-zA-Z][^\s/><]*+)((?:[^<>\"'/]++|\"[^\"]*+\"|'[^']*+'|[\"']|/(?!>))*+)(/?)>|</?[a-zA-Z][^<>]*+>?", re.S)
 _ATTRIBUTE = re.compile(r"(?:^|[\s\"'/])(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -255,16 +258,31 @@ def _region(page: Page, path: str) -> tuple[list[str], int]:
     return [t for t, c, _ in page.blocks if inside[c]], worth
 
 
+def _within(page: Page, at: int, around: set[int]) -> bool:
+    while at >= 0 and at not in around:
+        at = page.containers[at].parent
+    return at >= 0
+
+
 def main_text(page: Page, paths: list[str]) -> str:
-    """Blocks within the containers of the first of ``paths`` whose worth on this page comes near that of
-    the page's own best container, else of that container's path."""
+    """Blocks within the page's own best container, or within those of the first of ``paths`` that holds it or
+    whose worth on this page comes near its.
+
+    The containers of a path are widened on the page like its own, so a lead beside the body that the host's
+    pages agree on is not lost; where the page's own container holds them, that stays the wider one.
+    """
     if not page.blocks:
         return ""
     at, _ = best_container(page)
     texts, best = _region(page, page.containers[at].path)
+    own = {i for i, c in enumerate(page.containers) if c.path == page.containers[at].path}
     for path in paths:
-        found, worth = _region(page, path)
-        if found and worth >= NEAR * best:
+        theirs = {_widened(page, i) for i, c in enumerate(page.containers) if c.path == path}
+        if not theirs or all(_within(page, i, own) for i in theirs):
+            continue
+        wide = [_region(page, p) for p in dict.fromkeys(page.containers[i].path for i in sorted(theirs))]
+        found, worth = max(wide, key=lambda r: r[1])
+        if found and (_within(page, at, theirs) or worth >= NEAR * best):
             return "\n".join(found)
     return "\n".join(texts or [t for t, _, _ in page.blocks])
 
