@@ -1,7 +1,9 @@
 """Extraction from HTML with built-in SQL expressions only.
 
-These expressions read a page as text. They cover well-formed boilerplate containers that are not
-nested in themselves; pages that need a tree go through :mod:`pagework.functions.html_tree`.
+These expressions read a page as text, cut at the tags of its containers. One fold over the pieces keeps
+the stack of open containers, so furniture goes with all that is nested in it, and an article with its
+inner ones is one region, whatever tags are missing or stray. Selectors and block paths need a
+tree and go through :mod:`pagework.functions.html_tree`.
 """
 
 from __future__ import annotations
@@ -51,20 +53,24 @@ def _any(elements: list[str]) -> str:
     return f"<(?:{'|'.join(elements)})"
 
 
-def _named_container(names: list[str]) -> list[str]:
-    """Containers one of whose class or id names is in ``names``."""
+def _named(names: list[str]) -> str:
+    """The opening tag of a container one of whose class or id names is in ``names``, in any quotes or none."""
     one_of = "|".join(names)
-    value = rf'(?:class|id)="(?:[^">]*{_S})?(?:{one_of})(?:{_S}[^">]*)?"'
-    return [rf"{t}{_S}[^>]*?{value}[^>]*>.*?</{t}{_S}*>" for t in ("div", "section", "aside", "ul", "ol")]
+
+    def within(quote: str) -> str:
+        return rf"{quote}(?:[^{quote}>]*{_S})?(?:{one_of})(?:{_S}[^{quote}>]*)?{quote}"
+
+    value = rf"""(?:class|id){_S}*={_S}*(?:{within('"')}|{within("'")}|(?:{one_of})(?=[ \t\r\n\f>]))"""
+    return rf"(?is)^<(?:div|section|aside|ul|ol){_S}[^>]*?{value}"
 
 
 HIDDEN = "(?is)" + _any([r"!--.*?-->", *[_element(t) for t in HIDDEN_TAGS]])
-FURNITURE = "(?is)" + _any([_element(t) for t in FURNITURE_TAGS] + _named_container(AD_NAMES))
-COMMENTS = "(?is)" + _any(_named_container(COMMENT_NAMES))
-ARTICLE = rf"(?is)<article{_ATTRS}>(.*?)</article{_S}*>"
-MAIN = rf"(?is)<main{_ATTRS}>(.*?)</main{_S}*>"
+# Elements that can be furniture, hold it or be the main region: what the fold keeps on its stack.
+CONTAINERS = (*FURNITURE_TAGS, "div", "section", "ul", "ol", "table", "article", "main")
+CONTAINER_EDGE = rf"(?i)(?=</?(?:{'|'.join(CONTAINERS)})[ \t\r\n\f/>])"
+CONTAINER_TAG = rf"(?i)^<(/?(?:{'|'.join(CONTAINERS)}))[ \t\r\n\f/>]"
+ADS, COMMENTS = _named(AD_NAMES), _named(COMMENT_NAMES)
 BODY = rf"(?is)<body{_ATTRS}>(.*)"
-TABLE = "(?is)<" + _element("table")
 HEADING = rf"(?i)<h([1-6]){_ATTRS}>"
 LIST_ITEM = rf"(?i)<li{_ATTRS}>(?:{_S}*<(?:p|div){_ATTRS}>)?"
 CELL_GAP = rf"(?i)</t[dh]{_S}*>{_S}*<t[dh]{_ATTRS}>"
@@ -73,27 +79,65 @@ BLOCK_EDGE = rf"(?i)</?(?:{'|'.join(BLOCK_TAGS)})(?:[ \t\r\n\f/][^>]*)?>"
 TAG = r"(?s)</?[a-zA-Z!?][^>]*>"
 
 
-def clean_html(html: str, include_comments: bool | str, include_tables: bool | str) -> str:
-    """A page without comments, hidden elements and page furniture."""
+_PIECES = "ARRAY<STRUCT<text: STRING, article: BOOLEAN, main: BOOLEAN>>"
+
+
+def container_pieces(html: str, include_comments: bool | str, include_tables: bool | str) -> str:
+    """What a page holds outside comments, hidden elements and furniture, cut at its container tags: an array of
+    text, and whether it lies in an article or a main element.
+
+    A fold over the pieces carries the open containers. A closing tag closes the innermost one of its name and all
+    that were left open in it; one without an opening tag counts for nothing. Furniture begins at its
+    opening tag and ends when its container closes, by its own tag or by that of one around it.
+    """
+
+    def furniture(piece: str, tag: str) -> str:
+        found = [f"{tag} IN ({q_list(FURNITURE_TAGS)})", matches(piece, ADS)]
+        if include_comments is not True:
+            found.append(choose(include_comments, "false", matches(piece, COMMENTS)))
+        if include_tables is not True:
+            found.append(choose(include_tables, "false", f"{tag} = 'table'"))
+        return f"({' OR '.join(found)})"
+
+    def step(s: str, piece: str) -> str:
+        def known(tag: str) -> str:
+            name = f"substr({tag}, 2)"
+            last = f"size({s}.stack) + 1 - array_position(reverse({s}.stack), {name})"  # of that name, 1 behind the end if none
+            closed = let(f"CAST({last} AS INT)", lambda at: (
+                f"CASE WHEN array_contains({s}.stack, {name}) THEN named_struct('stack', slice({s}.stack, 1, {at} - 1), "
+                f"'skip', CASE WHEN {at} <= {s}.skip THEN 0 ELSE {s}.skip END) ELSE named_struct('stack', {s}.stack, 'skip', {s}.skip) END"
+            ))
+            opened = (
+                f"named_struct('stack', concat({s}.stack, array({tag})), 'skip', "
+                f"CASE WHEN {s}.skip = 0 AND {furniture(piece, tag)} THEN size({s}.stack) + 1 ELSE {s}.skip END)"
+            )
+            here = f"CASE WHEN {tag} = '' THEN named_struct('stack', {s}.stack, 'skip', {s}.skip) WHEN startswith({tag}, '/') THEN {closed} ELSE {opened} END"
+            return let(here, lambda n: (
+                f"named_struct('stack', {n}.stack, 'skip', {n}.skip, 'out', CASE WHEN {n}.skip > 0 THEN {s}.out ELSE concat({s}.out, array(named_struct("
+                f"'text', {piece}, 'article', array_contains({n}.stack, 'article'), 'main', array_contains({n}.stack, 'main')))) END)"
+            ))
+
+        return let(f"lower({extract(piece, CONTAINER_TAG)})", known)
+
     c = f"replace(replace({html}, {q(MARK)}, ''), {q(BREAK)}, '')"
-    c = replace_all(replace_all(c, HIDDEN, ""), FURNITURE, BREAK)
-    if include_comments is not True:
-        c = let(c, lambda x: choose(include_comments, x, replace_all(x, COMMENTS, BREAK)))
-    if include_tables is not True:
-        c = let(c, lambda x: choose(include_tables, x, replace_all(x, TABLE, BREAK)))
-    return c
+    c = replace_all(c, HIDDEN, "")
+    start = f"named_struct('stack', CAST(array() AS ARRAY<STRING>), 'skip', 0, 'out', CAST(array() AS {_PIECES}))"
+    return f"aggregate(split({c}, {q(CONTAINER_EDGE)}, -1), {start}, (s, p) -> {step('s', 'p')}, s -> s.out)"
 
 
-def main_region(clean: str) -> str:
-    """The articles of a cleaned page, else its main element, else its body, else all of it."""
+def main_region(pieces: str) -> str:
+    """The articles of a page, else its main element, else its body, else all of it."""
 
-    def pick(c: str) -> str:
-        parts = [
-            non_empty(f"array_join(regexp_extract_all({c}, {q(p)}, 1), {q(BREAK)})") for p in (ARTICLE, MAIN)
-        ]
-        return f"coalesce({', '.join(parts)}, {non_empty(extract(c, BODY))}, {c})"
+    def joined(p: str, kind: str) -> str:
+        inside = f"array_join(transform(filter({p}, x -> x.{kind}), x -> x.text), '')"
+        # The element's own tags are no content.
+        return let(replace_all(inside, rf"(?i)</?{kind}{_ATTRS}>", BREAK), lambda x: f"CASE WHEN replace({x}, {q(BREAK)}, '') <> '' THEN {x} END")
+
+    def pick(p: str) -> str:
+        whole = let(f"array_join(transform({p}, x -> x.text), '')", lambda c: f"coalesce({non_empty(extract(c, BODY))}, {c})")
+        return f"coalesce({joined(p, 'article')}, {joined(p, 'main')}, {whole})"
 
-    return let(clean, pick)
+    return let(pieces, pick)
 
 
 def region_blocks(region: str, include_links: bool | str) -> str:
@@ -125,7 +169,7 @@ def article_blocks(
     include_links: bool | str = False,
 ) -> str:
     """The main text of a page as marked blocks."""
-    return region_blocks(main_region(clean_html(html, include_comments, include_tables)), include_links)
+    return region_blocks(main_region(container_pieces(html, include_comments, include_tables)), include_links)
 
 
 def block_kind(block: str) -> str:

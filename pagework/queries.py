@@ -473,6 +473,24 @@ def x2_article_text(spark, sf_dir):
     return rows.select("page_id", F.col("i").cast("bigint").alias("i"), F.expr(nh.block_kind("b")).alias("kind"), F.expr(nh.block_text("b")).alias("text"))
 
 
+_NESTED = (
+    "replace(html, '</article>', concat('<article class=x><p>inner ', page_id, '</p><div class=\\'wide ad\\'><div>buy <div>now</div></div> cheap</div></article>"
+    "<p>tail ', page_id, '</p></section><section class=comments><div class=\"comment\"><div>first</div>second</div>third</section>"
+    "<table><tr><td>cell</td><td><table><tr><td>in</td></tr></table></td></tr></table>"
+    "<aside>x<aside>y</aside>z</aside><ul ID = \"sponsor\"><li>s<ul><li>t</li></ul></ul><p>end</p><div class=\"ad\">never closed<div></article>'))"
+)
+
+
+@query
+def x2_nested_containers(spark, sf_dir):
+    """Articles, adverts, comments and tables nested in their like, in all quotes, with stray and missing tags, for all toggles."""
+    pages = pages_of(spark, sf_dir).select("page_id", F.expr(_NESTED).alias("html"))
+    forms = F.expr("array(named_struct('comments', false, 'tables', true), named_struct('comments', true, 'tables', true), named_struct('comments', true, 'tables', false))")
+    rows = pages.select("page_id", "html", F.explode(forms).alias("t")).select("page_id", "t.comments", "t.tables", F.expr(nh.article_blocks("html", "t.comments", "t.tables")).alias("b"))
+    return rows.select("page_id", "comments", "tables", F.posexplode("b").alias("i", "x")).select(
+        "page_id", "comments", "tables", F.col("i").cast("bigint").alias("i"), F.expr(nh.block_text("x")).alias("text"))
+
+
 @query
 def x3_html_blocks(spark, sf_dir):
     return block_rows(blocks_of(spark, sf_dir), "blocks")

@@ -1,6 +1,7 @@
 """Extraction from hand-written pages: native expressions, the block pass, and the engines."""
 
 import html as stdlib_html
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -201,6 +202,61 @@ def test_language_filter(spark):
     assert parse(spark, PAGE.replace("en-GB", "de"), registry=only, engine="article").success
 
 
+NESTED = {
+    "<article>a<article>inner</article>tail</article>": ["a", "inner", "tail"],
+    "<article>a<div class='ad'>x<div>y</div>now</div>b</article>": ["a", "b"],
+    "<article>a<div class=ad>x</div>b<div id = sponsor >y</div>c</article>": ["a", "b", "c"],
+    "<article><div class=\"big ad\">x<div></article><p>out</p>": ["out"],
+    "<article>a<div class='ad'>x<p>y</article><footer>f": ["a"],
+    "<article>a</section></div>b<nav>m<nav>n</nav>o</nav>c</article>d": ["a", "b", "c"],
+    "<main>a<div><div class='ads'>x</div>b</div></main>": ["a", "b"],
+    "<body>a<aside>x<aside>y</aside>z</aside>b</nav>c</body>": ["a", "b", "c"],
+    "<article></article><main>m</main>": ["m"], "<article>one</article>x<article>two</article>": ["one", "two"],
+    "<article>a<div class=added>b</div><div class='x' id='y'>c</div></article>": ["a", "b", "c"],
+    "<DIV CLASS='AD'>x</DIV><Article>A</Article>": ["A"], "<article>a<table><tr><td>1<table><tr><td>2</table>3</table>b": ["a", "1", "2", "3", "b"],
+    "<div class='comments'><div>c</div>d</div>e": ["e"], "<article>a<ul class=\"ad\"><li>x<ul><li>y</ul><li>z</ul>b</article>": ["a", "b"],
+}
+
+
+def test_nested_containers(spark):
+    df = spark.createDataFrame(list(NESTED.items()), "html STRING, want ARRAY<STRING>")
+    got = df.select("html", "want", F.expr(f"transform({nh.article_blocks('html')}, b -> {nh.block_text('b')})").alias("got")).collect()
+    assert {r.html: r.got for r in got} == {r.html: r.want for r in got}
+
+
+def test_random_nesting_against_a_stack(spark):
+    """Random container tags, opened, closed, left open and stray, against a plain stack of open elements."""
+    rnd = random.Random(11)
+    tags = [("div", ""), ("div", " class='ad x'"), ("section", " id=comments"), ("section", ""), ("nav", ""), ("aside", ""), ("article", ""), ("table", ""), ("ul", ""), ("main", "")]
+    rows = []
+    for i in range(400):
+        source, said, stack, skip = "", [], [], 0
+        for k in range(rnd.randrange(1, 25)):
+            if rnd.random() < 0.45 and stack:
+                tag = rnd.choice(stack) if rnd.random() < 0.8 else rnd.choice(tags)[0]
+                source += f"</{tag}>"
+                if tag in stack:
+                    at = len(stack) - stack[::-1].index(tag)
+                    stack, skip = stack[: at - 1], 0 if at <= skip else skip
+            else:
+                tag, more = rnd.choice(tags)
+                source += f"<{tag}{more}>"
+                stack.append(tag)
+                if not skip and (more not in ("",) or tag in ("nav", "aside")):
+                    skip = len(stack)
+            source += f"t{k}"
+            if not skip:
+                said.append((f"t{k}", "article" in stack, "main" in stack))
+        for kind in (1, 2):
+            if any(x[kind] for x in said):
+                said = [x for x in said if x[kind]]
+                break
+        rows.append((source, [x[0] for x in said]))
+    df = spark.createDataFrame(rows, "html STRING, want ARRAY<STRING>")
+    got = df.select("html", "want", F.expr(f"transform({nh.article_blocks('html')}, b -> {nh.block_text('b')})").alias("got")).collect()
+    assert [(r.html, r.got) for r in got if r.got != r.want] == []
+
+
 def test_native_and_tree_extraction_agree(spark):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     tree = bl.mark_blocks(bl.main_blocks("b"), False)
