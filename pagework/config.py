@@ -32,6 +32,7 @@ class ArticleOptions:
     include_links: bool = False
     deduplicate: bool = True
     target_language: str = ""
+    fingerprint: bool = False  # of the text, in the metadata
 
     def __post_init__(self) -> None:
         if not re.fullmatch(r"([a-z]{2})?", self.target_language):

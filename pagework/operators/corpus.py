@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pagework.functions.fingerprints import fingerprint
+from pagework.functions.text import non_empty
+
 BITS = 32
 POSITIONS = 2**32
 
@@ -49,7 +52,8 @@ def fingerprints(documents: DataFrame, key: str, text: str) -> DataFrame:
     """32-bit SimHash over the word tokens of a text, as eight hex digits; '' without tokens.
 
     A token votes with the first eight hex digits of its MD5. All partial sums of a document arise in
-    the task that holds it, so what is shuffled is one narrow row per document.
+    the task that holds it, so what is shuffled is one narrow row per document. Faster than the expression for
+    long texts, which :func:`with_fingerprints` uses to stay in one pass.
     """
     tokens = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
     words = documents.select(key, F.explode_outer(tokens).alias("token"))
@@ -65,10 +69,7 @@ def fingerprints(documents: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def with_fingerprints(responses: DataFrame) -> DataFrame:
-    """Set ``metadata.fingerprint`` of successful responses. Pass a written table: the responses
-    are read twice."""
-    prints = fingerprints(responses.filter("success"), "pos", "content").filter("fingerprint <> ''")
-    joined = responses.join(prints, "pos", "left")
-    return joined.withColumn(
-        "metadata", F.col("metadata").withField("fingerprint", F.col("fingerprint"))
-    ).select(*responses.columns)
+    """Set ``metadata.fingerprint`` of successful responses, in the pass that reads them. Responses of an
+    article engine with the option ``fingerprint`` have it already."""
+    told = F.expr(f"CASE WHEN success THEN {non_empty(fingerprint('content'))} END")
+    return responses.withColumn("metadata", F.col("metadata").withField("fingerprint", told)).select(*responses.columns)

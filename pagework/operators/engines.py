@@ -19,6 +19,7 @@ from pagework import errors, schemas
 from pagework.config import ArticleOptions, Config, PrunedOptions
 from pagework.functions import blocks as bl
 from pagework.functions import native_html as nh
+from pagework.functions.fingerprints import fingerprint
 from pagework.functions.html_tree import html_blocks, select_region
 from pagework.functions.text import choose, non_empty, q
 from pagework.functions.urls import url_hostname
@@ -141,6 +142,8 @@ def article_engine(config: ArticleOptions) -> Engine:
         found = nh.metadata_fields(region, metas)
         found["language"] = nh.page_language(region, text)
         found["hostname"] = url_hostname(x.url)
+        if config.fingerprint:
+            found["fingerprint"] = non_empty(fingerprint(text))
         fetched = {"status_code": x.status_code, "redirected_url": x.redirected_url}
         df = df.selectExpr("*", f"{metadata_struct(merge_metadata(fetched, found))} AS {facts}")
 

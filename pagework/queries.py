@@ -623,6 +623,15 @@ def x16_fingerprint(spark, sf_dir):
     return corpus.fingerprints(documents_of(spark, sf_dir), "doc_id", "text")
 
 
+@query
+def x16_response_fingerprint(spark, sf_dir):
+    """Fingerprints that the article engine sets itself, and those that are set on the stored responses."""
+    config = Config(engine_order=("article",), max_content_length=50_000, article=ArticleOptions(fingerprint=True))
+    got = parse_pages(captures_of(spark, sf_dir), registry=Registry().register("article", article_engine(config.article)), config=config)
+    both = corpus.with_fingerprints(got).select("pos", F.col("metadata.fingerprint").alias("set_later"))
+    return got.select("pos", "metadata.fingerprint").join(both, "pos")
+
+
 @query
 def x17_empty_guards(spark, sf_dir):
     pages = captures_of(spark, sf_dir).selectExpr("page_id", "url", "status_code", "redirected_url",

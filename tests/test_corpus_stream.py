@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pagework import schemas
 from pagework.config import ArticleOptions, Config
+from pagework.functions.fingerprints import fingerprint
 from pagework.operators import corpus
 from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
@@ -60,6 +61,9 @@ def test_fingerprints(spark):
 
     got = {r.id: r.fingerprint for r in corpus.fingerprints(df, "id", "text").collect()}
     assert got == {i: simhash(t) for i, t in enumerate(texts)}
+    longer = [*texts, "x " * 5000 + "y", "a b c d", "İstanbul straße ½ ² 漢字 and_under", *(f"w{k} v{k * k} same words here" for k in range(200))]
+    rows = spark.createDataFrame(list(enumerate(longer)), "id BIGINT, text STRING").selectExpr("id", f"{fingerprint('text')} AS f", "text").collect()
+    assert {r.id: r.f for r in rows} == {r.id: r.fingerprint for r in corpus.fingerprints(spark.createDataFrame(rows), "id", "text").collect()}
 
 
 def article_only():
