@@ -445,6 +445,21 @@ def d7_outcome_summary(spark, sf_dir):
     return summary.outcome_totals(got).select(*summary.KEYS, F.col("level").cast("bigint").alias("level"), "n", "avg_chars")
 
 
+@query
+def d7_outcome_sketches(spark, sf_dir):
+    """Sketches of the batches of a stream, merged per engine and rule, and per engine alone."""
+    folder, stored, store = new_path(spark, "arriving"), new_path(spark, "sketches"), new_path(spark, "rule-versions")
+    for part in range(3):
+        pages_of(spark, sf_dir).filter(F.col("page_id") % 3 == part).coalesce(1).write.mode("append").parquet(folder)
+    versions = RuleVersions.create(rules.rules_from_list(spark, RULES), store)
+    stream = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", 1).parquet(folder)
+    hot_rules_stream(stream, versions, summary.sketch_batches(stored), registry=native_registry(), config=ORDER).awaitTermination()
+    sketches = spark.read.parquet(stored)
+    fine = summary.read_sketches(sketches, "engine_used", "rule_matched")
+    coarse = summary.read_sketches(sketches, "engine_used").withColumn("rule_matched", F.lit("*"))
+    return fine.unionByName(coarse)
+
+
 def _length_engine(url: str, html: str, css: str | None) -> dict:
     if url.endswith("/"):
         raise ValueError("folder")

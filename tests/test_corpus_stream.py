@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pagework import schemas
 from pagework.config import ArticleOptions, Config
 from pagework.functions.fingerprints import fingerprint
-from pagework.operators import corpus
+from pagework.operators import corpus, summary
 from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
 from pagework.operators.rules import rule_set, rules_from_list
@@ -184,6 +184,22 @@ def test_request_stream_equals_batch(spark, tmp_path, n_rules):
     assert {told[i].success for i in range(24) if "never" in rows[i][1] or "old" in rows[i][1]} == {False} and sum(r.success for r in told.values()) > 10
 
 
+def test_sketches_stay_within_their_bounds(spark):
+    """40,000 URLs in ten batches with overlaps: more than the sketches hold exactly."""
+    columns = "engine_used", "rule_matched", "success", "error_code", "url", "content"
+    rows = spark.range(60_000).selectExpr("id % 10 AS batch", "'a' AS engine_used", "concat('r', id % 2) AS rule_matched", "true AS success", "CAST(NULL AS STRING) AS error_code",
+                                          "concat('http://x/', id % 40000) AS url", "repeat('x', CAST(id % 997 AS INT)) AS content")
+    batches = None
+    for k in range(10):
+        some = summary.outcome_sketches(rows.filter(f"batch = {k}").select(*columns))
+        batches = some if batches is None else batches.unionAll(some)
+    got = summary.read_sketches(batches, "engine_used").first()
+    assert got.n == 60_000 and abs(got.n_urls - 40_000) < 4 * 0.0041 * 40_000
+    assert abs(got.chars_50 - 498) <= 4 and abs(got.chars_90 - 897) <= 4 and abs(got.chars_99 - 987) <= 4
+    assert {r.rule_matched: r.n for r in summary.merge_sketches(batches, "rule_matched").collect()} == {"r0": 30_000, "r1": 30_000}
+    assert summary.read_sketches(batches.limit(0), "engine_used").count() == 0
+
+
 def test_hot_keys_are_few_and_the_join_is_exact(spark):
     left = spark.range(5000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' WHEN id % 3 = 1 THEN NULL ELSE concat('k', id) END AS key")
     right = spark.range(5000).selectExpr("concat('k', id) AS key", "id AS value").union(spark.sql("SELECT 'hot', -1L"))
