@@ -7,6 +7,7 @@ engines it really reaches. No engine shuffles.
 
 from __future__ import annotations
 
+import inspect
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from typing import Any, Protocol
@@ -14,6 +15,7 @@ from typing import Any, Protocol
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from pagework import errors, schemas
 from pagework.config import ArticleOptions, Config, PrunedOptions
@@ -212,38 +214,52 @@ def column_engine(fn: Callable[[Column, Column, Column], Column]) -> Engine:
     return run
 
 
-def python_engine(name: str, fn: Callable[[str, str, str | None], Mapping[str, Any]]) -> Engine:
-    """An engine from a Python function (url, html, css) -> dict with title and content, run in
-    Arrow batches. An exception fails that row only."""
+_OF_KIND: dict[str, Callable[[Any], Any]] = {"INT": int, "STRING": str, "ARRAY<STRING>": lambda v: [v] if isinstance(v, str) else [str(x) for x in v]}
 
-    def batch(url: pa.Array, html: pa.Array, css: pa.Array) -> pa.Array:
+
+def _given_metadata(given: Mapping[str, Any] | None) -> dict[str, Any]:
+    """The fields that responses have, in their types; others that an engine gives are ignored."""
+    return {n: _OF_KIND[kind](given[n]) for n, kind in schemas.METADATA_FIELDS if given and given.get(n) is not None}
+
+
+def python_engine(name: str, fn: Callable[..., Mapping[str, Any]]) -> Engine:
+    """An engine from a Python function, run in Arrow batches. An exception fails that row only.
+
+    ``fn(url, html, css)``, or ``fn(url, html, css, options)`` to get the options of the rule that matched as a
+    dict of those that it sets, returns a dict with ``title``, ``content``, ``content_format``, ``error``, and
+    ``metadata``, a dict whose fields win over what is known of the capture.
+    """
+    wants_options = len(inspect.signature(fn).parameters) > 3
+
+    def batch(url: pa.Array, html: pa.Array, css: pa.Array, options: pa.Array) -> pa.Array:
         rows: list[dict[str, Any] | None] = []
-        for u, page, selector in zip(url.to_pylist(), html.to_pylist(), css.to_pylist()):
+        for u, page, selector, chosen in zip(url.to_pylist(), html.to_pylist(), css.to_pylist(), options.to_pylist()):
             if not page:
                 rows.append(None)
                 continue
             try:
-                given = fn(u, page, selector)
+                more = [{k: v for k, v in (chosen or {}).items() if v is not None}] if wants_options else []
+                given = fn(u, page, selector, *more)
                 rows.append({
                     "title": given.get("title") or "",
                     "content": given.get("content") or "",
                     "content_format": given.get("content_format") or "markdown",
                     "error": given.get("error"),
                     "raised": False,
+                    "metadata": _given_metadata(given.get("metadata")),
                 })
             except Exception as e:
                 rows.append({"title": "", "content": "", "content_format": "markdown", "error": str(e), "raised": True})
-        kinds = [("title", pa.string()), ("content", pa.string()), ("content_format", pa.string()),
-                 ("error", pa.string()), ("raised", pa.bool_())]
-        return pa.array(rows, pa.struct(kinds))
+        return pa.array(rows, to_arrow_type(schemas.PYTHON_RESULT_TYPE))
 
     # Not inlined by the optimizer, see html_tree.
     call = F.arrow_udf(batch, schemas.PYTHON_RESULT_TYPE).asNondeterministic()
 
     def run(df: DataFrame, out: str, x: Inputs) -> DataFrame:
         names = df.columns
-        gated = [f"CASE WHEN {x.html} IS NOT NULL THEN {c} END" for c in (x.url, x.css or "CAST(NULL AS STRING)")]
-        df = df.withColumn(f"{out}_py", call(F.expr(gated[0]), F.expr(x.html), F.expr(gated[1])))
+        options = x.options if wants_options and x.options else f"CAST(NULL AS {schemas.OPTIONS})"
+        gated = [f"CASE WHEN {x.html} IS NOT NULL THEN {c} END" for c in (x.url, x.css or "CAST(NULL AS STRING)", options)]
+        df = df.withColumn(f"{out}_py", call(F.expr(gated[0]), F.expr(x.html), F.expr(gated[1]), F.expr(gated[2])))
         r, code = f"{out}_py", f"{out}_code"
         df = df.selectExpr("*", first_error(
             (f"{r} IS NULL", errors.FETCH_EMPTY),
@@ -254,7 +270,8 @@ def python_engine(name: str, fn: Callable[[str, str, str | None], Mapping[str, A
         # An exception leaves no engine name on the response.
         engine = f"CASE WHEN coalesce({r}.raised, false) THEN '' ELSE {q(name)} END"
         error = f"coalesce({r}.error, {message(code)})"
-        facts = metadata_struct({"status_code": x.status_code, "redirected_url": x.redirected_url})
+        fetched = {"status_code": x.status_code, "redirected_url": x.redirected_url}
+        facts = metadata_struct(merge_metadata(fetched, {n: f"{r}.metadata.{n}" for n, _ in schemas.METADATA_FIELDS}))
         result = attempt_struct(engine, code, error, f"{r}.title", f"{r}.content", f"{r}.content_format", facts)
         return df.selectExpr(*names, f"{result} AS {out}")
 

@@ -473,6 +473,29 @@ def d8_register_engine(spark, sf_dir):
     return got.select(*OUTCOME)
 
 
+def _described_engine(url: str, html: str, css: str | None, options: dict) -> dict:
+    """Uses the options of the rule, tells metadata, and raises or gives unusable metadata for some pages."""
+    if url.endswith("/"):
+        raise ValueError("folder")
+    bad = {"status_code": "none"} if url.endswith(".html") else {}
+    return {
+        "title": url, "content": f"{css or ''}|{options.get('output_format', '')}|{len(html)}", "content_format": options.get("output_format"),
+        "metadata": {"author": "engine", "tags": sorted(options), "categories": "one", "unknown": 1, **bad},
+    }
+
+
+@query
+def d8_engine_options(spark, sf_dir):
+    """A Python engine with the options of two rules, metadata of its own, and rows that raise."""
+    reg = native_registry().register("described", python_engine("described", _described_engine))
+    entries = [
+        {"name": "com", "match_pattern": "example.com", "engine": "described", "css_selector": "article", "extra_options": {"output_format": "text", "include_links": True}},
+        {"name": "org", "match_pattern": "example.org", "engine": "described", "extra_options": {"target_language": "de"}},
+    ]
+    got = parse_pages(pages_of(spark, sf_dir), rule_set_of(spark, entries), reg, Config(engine_order=("described",)))
+    return got.select(*OUTCOME, "metadata.author", F.array_join("metadata.tags", ",").alias("tags"), F.array_join("metadata.categories", ",").alias("categories"), "metadata.status_code")
+
+
 # ---- extraction -----------------------------------------------------------------------------
 
 

@@ -61,6 +61,8 @@ REGION_TYPE = T.StructType(
     [T.StructField("region", T.StringType()), T.StructField("error", T.StringType())]
 )
 
+_METADATA_KINDS = {"INT": T.IntegerType(), "STRING": T.StringType(), "ARRAY<STRING>": T.ArrayType(T.StringType())}
+
 # What a Python engine returns per page.
 PYTHON_RESULT_TYPE = T.StructType(
     [
@@ -69,6 +71,7 @@ PYTHON_RESULT_TYPE = T.StructType(
         T.StructField("content_format", T.StringType()),
         T.StructField("error", T.StringType()),
         T.StructField("raised", T.BooleanType()),
+        T.StructField("metadata", T.StructType([T.StructField(name, _METADATA_KINDS[kind]) for name, kind in METADATA_FIELDS])),
     ]
 )
 
