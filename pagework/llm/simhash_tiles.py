@@ -185,13 +185,18 @@ def simhash_groups(
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, radius: int = 3) -> DataFrame:
-    """``docs`` with one row of each component: the one with the smallest id.
+    """``docs`` with one row of each component: the one with the smallest id, then the least hash of its text
+    and of its other columns, so the choice is the same whatever is run again.
 
-    Rows without an id cannot be told apart and all stay. Of repeated rows with the smallest id
-    one stays, whichever Spark meets first.
+    Rows that are alike in every column count as one. Rows of one id with different texts are documents of
+    their own. Rows without an id cannot be named and all stay. An empty table gives none.
     """
-    groups = simhash_groups(docs.filter(F.col(quoted(id_col)).isNotNull()), id_col, text_col, shingle, radius)
-    keep = materialize(groups.filter(F.col(id_col) == F.col("component_id")).select(id_col).distinct(), "kept")
-    # The sorted join leaves the rows of an id together, so the last step needs no shuffle of its own.
-    kept = docs.join(keep, id_col, "left_semi").dropDuplicates([id_col])
+    rest = [quoted(c) for c, kind in docs.dtypes if c not in (id_col, text_col) and not kind.startswith(("map", "variant"))]
+    # -0.0 and NaN apart, equal rows have equal hashes, and unequal ones differ but for a chance of 2 ** -64.
+    key = F.struct(F.col(quoted(id_col)).alias("id"), F.xxhash64(quoted(text_col)).alias("text"), F.xxhash64(*rest, F.lit(0)).alias("rest"))
+    named = docs.filter(F.col(quoted(id_col)).isNotNull()).select(key.alias("row"), F.col(quoted(text_col)).alias("text"))
+    groups = simhash_groups(named, "row", "text", shingle, radius)
+    keep = materialize(groups.filter("row = component_id").select(F.col("row").alias("_row")).distinct(), "kept")
+    # The sorted join leaves the rows of a key together, so the last step needs no shuffle of its own.
+    kept = docs.withColumn("_row", key).join(keep, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")
     return kept.unionAll(docs.filter(F.col(quoted(id_col)).isNull()))
