@@ -80,22 +80,22 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def requests_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts with several URLs, only dead URLs, no URL, no valid URL, and blank ones."""
+    """Texts with several URLs, only dead URLs, all texts of the conversations, blank ones and bare schemes."""
     pages = read_pages(spark, f"{sf_dir}/pages.parquet").select("page_id", "url")
     listed = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page_id", "url"))), lambda x: x["url"]), ", (")
-    several = pages.groupBy(F.expr("page_id div 3").alias("request_id")).agg(
+    several = pages.groupBy(F.expr("concat('several ', page_id div 3)").alias("request_id")).agg(
         F.concat(F.lit("see "), listed, F.lit(") and [http://gone.invalid/a] or ftp://x")).alias("text")
     )
     dead = pages.select(
-        (F.col("page_id") + 2_000_000_000).alias("request_id"),
+        F.concat(F.lit("dead "), "page_id").alias("request_id"),
         F.concat(F.lit("http://gone.invalid/"), "page_id", F.lit(" http://gone.invalid/b")).alias("text"),
     )
-    talk = spark.read.parquet(f"{sf_dir}/conversations.parquet").select(
-        (F.col("conv_id") * 1000 + F.col("turn") + 1_000_000_000).alias("request_id"),
-        F.when(F.col("role") == "assistant", " \t").when(F.col("role") == "system", "http://")
-        .otherwise(F.col("text")).alias("text"),
-    )
-    return several.unionByName(dead).unionByName(talk)
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    named = [F.concat(F.lit(kind), "conv_id", F.lit(" "), "turn").alias("request_id") for kind in ("talk ", "blank ", "bare ")]
+    talk = turns.select(named[0], "text")
+    blank = turns.filter("role = 'assistant'").select(named[1], F.lit(" \t").alias("text"))
+    bare = turns.filter("role = 'system'").select(named[2], F.lit("http://").alias("text"))
+    return several.unionByName(dead).unionByName(talk).unionByName(blank).unionByName(bare)
 
 
 def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def captures_of(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("2024-01-01").alias("captured_at"),
     )
     second = first.filter(F.col("url").startswith("https://")).withColumns(
-        {"page_id": F.col("page_id") + 1_000_000_000, "html": F.concat("html", F.lit(" ")), "captured_at": F.lit("2024-02-01")}
+        {"page_id": -1 - F.col("page_id"), "html": F.concat("html", F.lit(" ")), "captured_at": F.lit("2024-02-01")}
     )
     return first.unionByName(second)
 
