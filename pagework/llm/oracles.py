@@ -1,7 +1,7 @@
 """DuckDB counterparts of the registered queries, where SQL can express them.
 
-The other operators have no entry: trained models (op1, op2), HTML trees (op3), packing, tokenizers
-and plane files (op5, op10), XXH64 and linking by steps (op6), and windows of words or bytes over
+The other operators have no entry: trained models (op1, op2), HTML trees (op3), packing, tokenizers and
+plane files (op5, op10), XXH64 and linking by steps (op6, op11), and windows of words or bytes over
 whole texts, which are too slow in SQL on whole tables (op4, op8, op9). Tests compare those with
 brute force, exact round trips or held-out labels.
 """

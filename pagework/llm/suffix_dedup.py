@@ -1,13 +1,13 @@
-"""Byte-exact dedup with a logarithmic family of suffix arrays in every partition.
+"""Byte-exact dedup with a logarithmic family of sorted window arrays in every partition.
 
 Every window of ``window`` bytes is assigned to an anchor, the k-gram with the least hash in it, so
 equal windows have equal anchors. Neighbouring windows with the same anchor are a run. Runs whose
 anchor occurs nowhere else cannot repeat and stay where they are; of the others the bytes go to the
-partition of their anchor, in order of their documents. There each new batch of runs gets its own
-suffix array (the windows' starts in the order of their bytes), is merge-scanned against the arrays
-of earlier batches, and the windows not seen before become a new level; levels of about equal size
-merge, so a partition has a logarithmic number of them. What the scan finds goes back to the blocks
-of documents as intervals of window starts.
+partition of their anchor, in order of their documents. There the windows of each new batch of runs are
+sorted by their bytes and looked up in the sorted windows of earlier batches, and those not seen before
+become a new level; levels of about equal size merge, so a partition has a logarithmic number of them.
+A level holds windows, cut to the one length that is asked for, not suffix positions with match lengths, and
+lives as long as its task. What is found goes back to the blocks of documents as intervals of window starts.
 """
 
 from __future__ import annotations
@@ -101,7 +101,7 @@ class Family:
         data = np.frombuffer(b"".join(contents), np.uint8)
         windows = np.lib.stride_tricks.sliding_window_view(data, self.window)[start]
         strings = np.ascontiguousarray(windows).view(f"S{self.window}").ravel()
-        order = np.argsort(strings, kind="stable")  # the batch's suffix array; ties by arrival
+        order = np.argsort(strings, kind="stable")  # ties by arrival
         suffixes = strings[order]
         seen = np.zeros(len(order), bool)
         seen[1:] = suffixes[1:] == suffixes[:-1]
