@@ -132,6 +132,7 @@ class RuleSet:
 
     table: DataFrame
     literal: tuple[Row, ...] | None
+    kinds: frozenset[str]  # match types of usable rules
 
     @property
     def uses_css(self) -> bool:
@@ -153,7 +154,7 @@ class RuleSet:
 
     def with_literals(self) -> "RuleSet":
         """The same rules as literals of the plan, however many they are; for routing without a join."""
-        return self if self.literal is not None else RuleSet(self.table, _in_order(self.table.collect()))
+        return self if self.literal is not None else RuleSet(self.table, _in_order(self.table.collect()), self.kinds)
 
 
 def _in_order(rows: Iterable[Row]) -> tuple[Row, ...]:
@@ -167,10 +168,11 @@ def rule_set(rules: DataFrame, case_limit: int | None = MAX_CASE_RULES) -> RuleS
     few = (table if case_limit is None else table.limit(case_limit + 1)).collect()
     if case_limit is None or len(few) <= case_limit:
         _log_unusable(few)
-        return RuleSet(table, _in_order(few))
+        return RuleSet(table, _in_order(few), frozenset(r.match_type for r in few if r.usable))
     table = materialize(table, "rules")
-    _log_unusable(table.filter("match_type = 'regex' AND NOT usable").limit(LOGGED).collect())
-    return RuleSet(table, None)
+    kinds = table.groupBy("match_type", "usable").agg(F.min("match_pattern").alias("match_pattern")).collect()
+    _log_unusable(kinds)
+    return RuleSet(table, None, frozenset(r.match_type for r in kinds if r.usable))
 
 
 def match_domain(domain: str, pattern: str) -> str:
@@ -310,10 +312,12 @@ def _route_join(df: DataFrame, rules: RuleSet, url: str, min_hot_rows: int) -> D
     # What tells rows of a hot domain or URL apart: the URL and the row's numbers.
     spread: Column = F.xxhash64(url, *(c for c, kind in df.dtypes if kind in ("bigint", "int", "smallint", "tinyint")))
     hit = lookup_join(df, best_domain_rule(df, rules), "domain", spread, min_hot_rows)
-    keyed = hit.withColumn("_url", F.col(url))
-    hit = lookup_join(keyed, best_pattern_rule(df, rules, url), "_url", spread, min_hot_rows)
-    by_pattern = F.coalesce(F.col("_found.rank") < F.col("_entry.rank"), F.col("_found").isNotNull())
-    best = F.when(by_pattern, F.col("_found")).otherwise(F.col("_entry"))
+    best = F.col("_entry")
+    if "regex" in rules.kinds:
+        keyed = hit.withColumn("_url", F.col(url))
+        hit = lookup_join(keyed, best_pattern_rule(df, rules, url), "_url", spread, min_hot_rows)
+        by_pattern = F.coalesce(F.col("_found.rank") < F.col("_entry.rank"), F.col("_found").isNotNull())
+        best = F.when(by_pattern, F.col("_found")).otherwise(best)
     names = ("name", "engine", "css_selector", "options")
     return hit.withColumn("_best", best).select(*df.columns, *[F.col(f"_best.{n}").alias(out) for n, out in zip(names, _ROUTE_NAMES)])
 
