@@ -27,8 +27,13 @@ from pagework.sources.rule_versions import RuleVersions
 
 
 def read_page_stream(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """A stream of captured pages from a folder of Parquet files."""
-    return spark.readStream.schema(schemas.PAGES).option("pathGlobFilter", glob).parquet(folder)
+    """A stream of captured pages from the Parquet files of a folder. A ``glob`` without wildcards names one table
+    in it, a file or a folder of files."""
+    pages = spark.readStream.schema(schemas.PAGES)
+    if any(c in glob for c in "*?[{"):
+        return pages.option("pathGlobFilter", glob).parquet(folder)
+    # A stream's path may be a file only where it is a pattern; a filter of names would leave out a folder's files.
+    return pages.parquet(f"{folder}/{{{glob}}}")
 
 
 def parse_stream(pages: DataFrame, rules: RuleSet | None = None, **options) -> DataFrame:

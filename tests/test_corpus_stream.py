@@ -16,6 +16,7 @@ from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
 from pagework.operators.rules import rule_set, rules_from_list
 from pagework.plans.skew import hot_keys, lookup_join
+from pagework.queries import QUERIES
 from pagework.sources.rule_files import save_rules
 from pagework.sources.rule_versions import RuleVersions
 from pagework.sources.sinks import responses_to_json, write_responses, write_text
@@ -94,6 +95,19 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got.exceptAll(batch).count() == 0 and batch.exceptAll(got).count() == 0
 
 
+@pytest.mark.parametrize("name", ["f4_parse_stream", "f5_hot_rules"])
+def test_streamed_table_may_be_a_folder(spark, tmp_path, name):
+    rows = [(i, f"http://www.example.{('com', 'org', 'net')[i % 3]}/de/{i}", f"<html><body><article><h1>Head {i}</h1><p>text {i}</p></article></body></html>") for i in range(12)]
+    pages = spark.createDataFrame(rows, schemas.PAGES)
+    pages.repartition(4).write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    (tmp_path / "one").mkdir()
+    pages.coalesce(1).write.parquet(str(tmp_path / "written"))
+    shutil.copy(next((tmp_path / "written").glob("part-*.parquet")), tmp_path / "one" / "pages.parquet")
+    pages.coalesce(1).write.parquet(str(tmp_path / "one" / "other.parquet"))
+    got = [sorted(map(tuple, QUERIES[name](spark, str(tmp_path / kind)).collect())) for kind in ("many", "one")]
+    assert [r[0] for r in got[0]] == list(range(12)) and got[0] == got[1]
+
+
 def test_rules_apply_without_restart(spark, tmp_path):
     source, stored = tmp_path / "in", tmp_path / "rules"
     source.mkdir()
