@@ -29,6 +29,7 @@ from pagework.functions.text import let, matches, q
 from pagework.functions.urls import url_domain
 from pagework.plans.materialize import materialize
 from pagework.plans.skew import MIN_HOT_ROWS, lookup_join
+from pagework.sources.pages import only_wanted
 
 log = logging.getLogger(__name__)
 
@@ -279,7 +280,8 @@ def pattern_index(rules: RuleSet) -> DataFrame:
     """``piece, java, entry``: every usable pattern under the pieces that it is looked up by.
 
     A pattern offers covers, sets of pieces one of which every match holds. The one is taken whose
-    pieces the fewest patterns offer. A pattern without any stands under the empty piece, which every URL holds.
+    pieces the fewest patterns offer, where a character more outweighs twice as many of them. A pattern
+    without any stands under the empty piece, which every URL holds.
     """
     usable = rules.table.filter((F.col("match_type") == "regex") & F.col("usable"))
     # Rules of the same pattern can only ever yield the first of them.
@@ -287,7 +289,7 @@ def pattern_index(rules: RuleSet) -> DataFrame:
     offered = first.select("match_pattern", F.posexplode("r.covers").alias("cover", "pieces"))
     offered = offered.select("match_pattern", "cover", F.explode("pieces").alias("piece"))
     counts = offered.groupBy("piece").agg(F.count(F.lit(1)).alias("n"))
-    costs = offered.join(counts, "piece").groupBy("match_pattern", "cover").agg(F.sum("n").alias("n"), F.collect_list("piece").alias("pieces"))
+    costs = offered.join(counts, "piece").groupBy("match_pattern", "cover").agg(F.sum(F.col("n") / F.pow(F.lit(2.0), F.length("piece"))).alias("n"), F.collect_list("piece").alias("pieces"))
     best = costs.groupBy("match_pattern").agg(F.min_by("pieces", F.struct("n", "cover")).alias("pieces"))
     chosen = first.join(best, "match_pattern")
     return chosen.select(F.explode("pieces").alias("piece"), F.col("r.java").alias("java"), F.col("r.entry").alias("entry"))
@@ -297,12 +299,17 @@ def best_pattern_rule(urls: DataFrame, rules: RuleSet, url: str = "url") -> Data
     """R3 as an equi-join: the best rule by regular expression, as a struct, per distinct URL.
 
     The index is joined on the pieces of the URLs, of the lengths that it has; a pattern is tried on the
-    URLs that share a piece with it and on no other.
+    URLs that share a piece with it and on no other. Nearly all pieces that the index does not have go
+    before any URL is copied for them. The number of partitions is fixed because what follows works hard
+    per row: URLs are so short that merged partitions would leave it to a few tasks.
     """
-    index = pattern_index(rules)
+    index = materialize(pattern_index(rules), "pattern-index")
     lengths = index.agg(F.sort_array(F.collect_set(F.length("piece")))).scalar()
+    partitions = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = urls.select(F.col(url).alias("_url")).filter("_url IS NOT NULL").distinct()
-    parts = texts.withColumn("_lengths", lengths).select("_url", F.explode(F.expr(pieces_of("_url", "_lengths"))).alias("piece"))
+    texts = texts.repartition(partitions, F.xxhash64("_url"))  # by "_url" itself it would be dropped as done by distinct()
+    parts = texts.withColumn("_lengths", lengths).select("_url", F.explode(F.expr(pieces_of("_url", "_lengths"))).alias("url"))
+    parts = only_wanted(parts, index.select(F.col("piece").alias("url"))).withColumnRenamed("url", "piece")
     hits = parts.join(index, "piece").filter("_url RLIKE java")
     return hits.groupBy("_url").agg(F.min_by("entry", F.col("entry.rank")).alias("_found"))
 

@@ -174,6 +174,18 @@ def test_pattern_index_against_brute_force(spark):
     assert {r.url: r.rule_matched for r in got.collect()} == {**{x: brute_force(entries, x) for x in urls}, None: None}
 
 
+def test_a_piece_is_shared_by_few_patterns_however_many_there_are(spark):
+    """Numbers of all lengths behind a beginning that all patterns have: no number's pattern is tried on the URLs of another."""
+    rows = spark.range(80, 20_080).selectExpr("CAST(id AS INT) AS rule_idx", "concat('r', id) AS name", "'regex' AS match_type", "concat('^https?://[^/]+/(de|en)/.*', id, '$') AS match_pattern",
+                                              "'article' AS engine", "CAST(NULL AS STRING) AS css_selector", f"CAST(NULL AS {schemas.OPTIONS}) AS extra_options", "0 AS priority")
+    rules = ru.rule_set(rows)
+    assert ru.pattern_index(rules).groupBy("piece").count().agg(F.max("count")).first()[0] == 1
+    urls = [f"http://x.example.com/de/{n}" for n in (80, 512, 1_234, 20_079, 2_222_222)]
+    df = spark.createDataFrame([(u,) for u in urls], "url STRING")
+    expected = {u: min((f"r{n}" for n in range(80, 20_080) if u.endswith(str(n))), key=lambda r: int(r[1:])) for u in urls}
+    assert {r.url: r.rule_matched for r in ru.route(df, rules).collect()} == expected
+
+
 def test_plan_does_not_grow_with_the_rules(spark, tmp_path):
     """10,000 patterns give the plan of 10, and take less than five times as long over the same URLs."""
     urls = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
