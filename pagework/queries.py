@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from pagework import errors, schemas
 from pagework.config import ArticleOptions, Config
@@ -753,12 +754,24 @@ def f4_request_stream(spark, sf_dir):
     return spark.read.schema(got.schema).parquet(out).select(*OUTCOME)
 
 
+RUNNING = {"processingTime": "1 second"}
+
+
+def _while_running(query: StreamingQuery, *steps: Callable[[], None]) -> None:
+    """Take each step when the running query has worked off all that is there, and stop it at the end."""
+    try:
+        query.processAllAvailable()
+        for step in steps:
+            step()
+            query.processAllAvailable()
+    finally:
+        query.stop()
+
+
 @query
 def f5_versioned_rules(spark, sf_dir):
-    """One running query; new rules are published while it is between its two batches."""
+    """One running query; new rules are published after its first batch, before the second half of the pages arrives."""
     folder, out = new_path(spark, "arriving"), new_path(spark, "versions-out")
-    for half in (0, 1):
-        pages_of(spark, sf_dir).filter(F.col("page_id") % 2 == half).coalesce(1).write.mode("append").parquet(folder)
     store = RuleVersions.create(rules.rules_from_list(spark, RULES), new_path(spark, "rule-versions"))
 
     def write(responses: DataFrame, number: int) -> None:
@@ -766,8 +779,12 @@ def f5_versioned_rules(spark, sf_dir):
         if number == 0:
             store.publish(rules.rules_from_list(spark, RULES[4:]))
 
-    stream = spark.readStream.schema(schemas.PAGES).option("maxFilesPerTrigger", 1).parquet(folder)
-    hot_rules_stream(stream, store, write, registry=native_registry(), config=ORDER).awaitTermination()
+    def arrive(half: int) -> None:
+        pages_of(spark, sf_dir).filter(F.col("page_id") % 2 == half).write.mode("append").parquet(folder)
+
+    arrive(0)
+    stream = spark.readStream.schema(schemas.PAGES).parquet(folder)
+    _while_running(hot_rules_stream(stream, store, write, trigger=RUNNING, registry=native_registry(), config=ORDER), lambda: arrive(1))
     return spark.read.schema(f"{schemas.RESPONSES}, rules_version LONG").parquet(f"{out}/*").select(*OUTCOME, "rules_version")
 
 

@@ -8,7 +8,7 @@ import pytest
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
-from pagework import schemas
+from pagework import queries, schemas
 from pagework.config import ArticleOptions, Config
 from pagework.functions.fingerprints import fingerprint
 from pagework.operators import corpus, summary
@@ -16,7 +16,6 @@ from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
 from pagework.operators.rules import rule_set, rules_from_list
 from pagework.plans.skew import hot_keys, lookup_join
-from pagework.queries import QUERIES
 from pagework.sources.rule_files import save_rules
 from pagework.sources.rule_versions import RuleVersions
 from pagework.sources.sinks import responses_to_json, write_responses, write_text
@@ -104,10 +103,26 @@ def test_streamed_table_may_be_a_folder(spark, tmp_path, name):
     pages.coalesce(1).write.parquet(str(tmp_path / "written"))
     shutil.copy(next((tmp_path / "written").glob("part-*.parquet")), tmp_path / "one" / "pages.parquet")
     pages.coalesce(1).write.parquet(str(tmp_path / "one" / "other.parquet"))
-    got = [sorted(map(tuple, QUERIES[name](spark, str(tmp_path / kind)).collect())) for kind in ("many", "one")]
+    got = [sorted(map(tuple, queries.QUERIES[name](spark, str(tmp_path / kind)).collect())) for kind in ("many", "one")]
     assert [r[0] for r in got[0]] == list(range(12)) and got[0] == got[1]
 
 
+@pytest.mark.parametrize("name", ["f5_versioned_rules"])
+def test_no_task_writes_a_whole_part_of_a_stream(spark, tmp_path, monkeypatch, name):
+    """Neither half of the pages, and no part of the captures, passes through one task on its way to the stream."""
+    rows = [(i, f"http://www.example.{('com', 'org', 'net')[i % 3]}/de/{i}", f"<html><body><article><h1>Head {i}</h1><p>text {i}</p></article></body></html>") for i in range(240)]
+    spark.createDataFrame(rows, schemas.PAGES).repartition(8).write.parquet(str(tmp_path / "pages.parquet"))
+    paths = []
+    monkeypatch.setattr(queries, "new_path", lambda _, kind: paths.append(str(tmp_path / f"{kind}-{len(paths)}")) or paths[-1])
+    got = queries.QUERIES[name](spark, str(tmp_path)).collect()
+    assert sorted(r.pos for r in got) == list(range(240))
+    if name == "f5_versioned_rules":
+        assert {r.rules_version for r in got if r.pos % 2 == 0} == {1} and {r.rules_version for r in got if r.pos % 2} == {2}
+    for path in (p for p in paths if "arriving" in p):
+        written = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+        assert max(r["count"] for r in written) < 40
+
+
 def test_rules_apply_without_restart(spark, tmp_path):
     source, stored = tmp_path / "in", tmp_path / "rules"
     source.mkdir()
