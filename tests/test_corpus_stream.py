@@ -15,6 +15,7 @@ from pagework.operators import corpus, summary
 from pagework.operators.batch import parse_batch, parse_pages
 from pagework.operators.engines import Registry, article_engine
 from pagework.operators.rules import rule_set, rules_from_list
+from pagework.plans.partitions import spread
 from pagework.plans.skew import hot_keys, lookup_join
 from pagework.sources.rule_files import save_rules
 from pagework.sources.rule_versions import RuleVersions
@@ -236,3 +237,12 @@ def test_hot_keys_are_few_and_the_join_is_exact(spark):
     got = lookup_join(left, right, "key", F.col("id"), 100, 8)
     expected = left.join(right, "key", "left").select(*got.columns)
     assert got.exceptAll(expected).count() == 0 and got.count() == 5000
+
+
+def test_tasks_of_large_inputs_hold_so_many_rows(spark):
+    """More partitions than cores are no reason to leave any number of rows in one."""
+    rows = spark.range(0, 100_000, 1, spark.sparkContext.defaultParallelism)
+    dealt = spread(rows, "id")
+    assert dealt.count() == 100_000 and dealt.distinct().count() == 100_000
+    assert dealt.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 5_500
+    assert spread(dealt, "id") is dealt
