@@ -740,14 +740,17 @@ def f4_request_stream(spark, sf_dir):
     late = F.when(F.col("page_id") % 5 == 0, F.col("part") + 1).otherwise(F.col("part"))
     found = pages.filter("page_id % 7 <> 0").select(late.alias("part"), "page_id", "url", "html", (at + F.expr("make_dt_interval(0, 0, CAST(page_id % 4 AS INT), 0)")).alias("captured_at"))
     end = F.timestamp_seconds(F.lit(1_800_000_000))
-    asked = asked.unionByName(asked.limit(1).select(F.lit(4).alias("part"), F.lit(-1).alias("pos"), F.lit("").alias("url"), end.alias("asked_at")))
-    found = found.unionByName(found.limit(1).select(F.lit(4).alias("part"), F.lit(-1).alias("page_id"), F.lit("").alias("url"), F.lit("").alias("html"), end.alias("captured_at")))
+    ends = [asked.limit(1).select(F.lit(-1).cast("bigint").alias("pos"), F.lit("").alias("url"), end.alias("asked_at")),
+            found.limit(1).select(F.lit(-1).cast("bigint").alias("page_id"), F.lit("").alias("url"), F.lit("").alias("html"), end.alias("captured_at"))]
+    # A batch takes as many files as a part has at most; where parts meet in one, only the far rows have to be the last.
+    files = pages.rdd.getNumPartitions()
     streams = []
-    for rows in (asked, found):
+    for rows, last in zip((asked, found), ends):
         folder = new_path(spark, "arriving")
-        for part in range(5):
-            rows.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(folder)
-        streams.append(spark.readStream.schema(rows.drop("part").schema).option("maxFilesPerTrigger", 1).parquet(folder))
+        for part in range(4):
+            rows.filter(F.col("part") == part).drop("part").write.mode("append").parquet(folder)
+        last.write.mode("append").parquet(folder)
+        streams.append(spark.readStream.schema(last.schema).option("maxFilesPerTrigger", max(files, 1)).parquet(folder))
     out = new_path(spark, "answers")
     got = parse_request_stream(*streams, rule_set_of(spark), native_registry(), ORDER, late="1 hour")
     write_stream(got, out).awaitTermination()

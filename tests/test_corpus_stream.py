@@ -108,7 +108,7 @@ def test_streamed_table_may_be_a_folder(spark, tmp_path, name):
     assert [r[0] for r in got[0]] == list(range(12)) and got[0] == got[1]
 
 
-@pytest.mark.parametrize("name", ["f5_versioned_rules"])
+@pytest.mark.parametrize("name", ["f5_versioned_rules", "f4_request_stream"])
 def test_no_task_writes_a_whole_part_of_a_stream(spark, tmp_path, monkeypatch, name):
     """Neither half of the pages, and no part of the captures, passes through one task on its way to the stream."""
     rows = [(i, f"http://www.example.{('com', 'org', 'net')[i % 3]}/de/{i}", f"<html><body><article><h1>Head {i}</h1><p>text {i}</p></article></body></html>") for i in range(240)]
